@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join, substring_dedup
+from . import mixing, ngram_join, packing, substring_dedup
 from .common import table
 
 
@@ -18,6 +18,21 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed_spans(table(spark, sf_dir, "documents"), depth=400, unit="bytes")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_sequences(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
