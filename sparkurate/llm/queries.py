@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, substring_dedup
-from .common import table
+from . import mixing, ngram_join, packing, substring_dedup, token_store
+from .common import Scratch, table
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "tokens").path("store")
+    token_store.write_store(table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=2)
+    return token_store.read_store(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), weights=[3, 1, 2], share=1.5, most=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
