@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, substring_dedup, token_store
+from . import mixing, ngram_join, packing, quality, substring_dedup, token_store
 from .common import Scratch, table
 
 
@@ -28,6 +28,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"), quality.safe_grade(), n_grades=3)
+    return quality.graded(docs.select("doc_id", "text"), model, wanted=2).select("doc_id", "expected_grade", "p_tail", "keep")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark, "tokens").path("store")
     token_store.write_store(table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=2)
