@@ -48,7 +48,7 @@ from .common import (
 )
 
 BITS = 20  # of the counters that tokens' frequencies are kept in
-BINS = 64  # of the histogram that bounds an intersection
+BINS = 256  # of the histogram that bounds an intersection
 UNIT = 40  # documents of UNIT * 4**c tokens and more are in size class c
 
 
