@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, packing, quality, substring_dedup, token_store
+from . import mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store
 from .common import Scratch, table
 
 
@@ -34,6 +34,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.graded(docs.select("doc_id", "text"), model, wanted=2).select("doc_id", "expected_grade", "p_tail", "keep")
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edit_comparison(table(spark, sf_dir, "documents"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Scratch(spark, "tokens").path("store")
     token_store.write_store(table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=2)
