@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store
+from . import mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
 from .common import Scratch, table
 
 
@@ -49,6 +49,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Scratch(spark, "archives").path("warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, least=1000)
+    return warc.read_archives(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
