@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
+from . import html_text, mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
 from .common import Scratch, table
 
 
@@ -55,6 +55,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
