@@ -116,6 +116,7 @@ _OUT_SQL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 def fingerprints(docs: DataFrame, text_col: str = "text", sketches: int = 64, tuple_size: int = 2) -> DataFrame:
     """docs with their fingerprint, as 8 hex digits for each sketch."""
     prepare(docs.sparkSession)
+    docs = docs.drop("fingerprint")
     at = docs.columns.index(text_col)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "fingerprint string"])
 

@@ -144,8 +144,9 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: i
 
 
 def graded(docs: DataFrame, model: OrdinalModel | None, wanted: int, at_least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """docs with expected_grade, p_tail = P(grade >= wanted) and keep = p_tail >= at_least."""
+    """docs with expected_grade, p_tail = P(grade >= wanted) and keep = p_tail >= at_least; columns of these names are replaced."""
     prepare(docs.sparkSession)
+    docs = docs.drop("expected_grade", "p_tail", "keep")
     if model is None:
         return docs.withColumns({"expected_grade": F.lit(None).cast("double"), "p_tail": F.lit(None).cast("double"), "keep": F.lit(True)})
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
+from . import embedding_dedup, html_text, mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
 from .common import Scratch, table
 
 
@@ -34,6 +34,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.graded(docs.select("doc_id", "text"), model, wanted=2).select("doc_id", "expected_grade", "p_tail", "keep")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edit_comparison(table(spark, sf_dir, "documents"))
 

@@ -208,14 +208,18 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
     """docs' id, n_bytes, n_removed, n_spans, kept_sha256 and, if keep_text, all columns with the text that is left.
 
     Removes each token that a stretch of `depth` tokens covers which also starts anywhere else; unit is
-    bytes or words (with the white space between the words that are removed).
+    bytes or words (with the white space between the words that are removed). Other columns whose names
+    this function uses itself are left out.
     """
+    if unit not in ("bytes", "words"):
+        raise ValueError(unit)
     if depth < 3 * STEP:
         raise ValueError(f"depth must be {3 * STEP} at least")
     spark = docs.sparkSession
     scratch = Scratch(spark, "substrings")
     tokens = byte_tokens if unit == "bytes" else word_tokens
-    names = [f.name for f in docs.schema if f.name not in (id_col, text_col)] if keep_text else []
+    made = {id_col, text_col, "doc", "tag", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "__doc", "__tag", "s0", "s1", "s2"}
+    names = [f.name for f in docs.schema if f.name not in made] if keep_text else []
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def first(batches):
