@@ -76,7 +76,7 @@ class OrdinalModel:
         return 1 - _sigmoid(self.thresholds[None, :] - scores[:, None])
 
 
-def fit(slots: np.ndarray, values: np.ndarray, rows: np.ndarray, grades: np.ndarray, n_grades: int, steps: int = 150, rate: float = 0.08, ridge: float = 3e-5, least: int = 5, z: float = 4.0) -> OrdinalModel:
+def fit(slots: np.ndarray, values: np.ndarray, rows: np.ndarray, grades: np.ndarray, n_grades: int, steps: int = 150, rate: float = 0.08, ridge: float = 3e-5, least: int = 3, z: float = 4.0) -> OrdinalModel:
     """Maximum likelihood with a ridge penalty, by Adam over the whole sample.
 
     Word slots get a weight if they are in `least` rows, and if the mean grade of these is `z` standard
