@@ -67,5 +67,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+#: Smallest node reachable over links (a, b); nodes: one column i.
+_COMPONENTS = """reach(i, c) AS (SELECT i, i FROM nodes UNION SELECT r.i, l.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.c),
+    comps AS (SELECT i, min(c) AS component_id FROM reach GROUP BY 1)"""
+
+OP1 = f"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 2, 2)), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+    e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+    links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id AND 85 * x.n <= 100 * y.n AND 85 * y.n <= 100 * x.n GROUP BY 1, 2, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+    nodes AS (SELECT a AS i FROM links UNION SELECT b FROM links), {_COMPONENTS}
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM s LEFT JOIN comps ON i = doc_id"""
+
+OP5 = f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
+    nodes AS (SELECT a AS i FROM links UNION SELECT b FROM links), {_COMPONENTS}, n AS (SELECT i, count(*) AS n FROM (SELECT a AS i FROM links UNION ALL SELECT b FROM links) GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept FROM v LEFT JOIN comps ON comps.i = vec_id LEFT JOIN n ON n.i = vec_id"""
+
+OP9 = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), q AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest, max(page_id) OVER (PARTITION BY h) AS keep FROM p),
+    r AS (SELECT *, payload_bytes >= 1000 AND page_id < keep AS again FROM q)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN keep END AS refers_to FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what SQL can express; tests/llm hold the others against plain versions."""
+    return {"op1_ngram_jaccard_join": OP1, "op5_embedding_dedup": OP5, "op9_warc": OP9}
