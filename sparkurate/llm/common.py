@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -60,7 +61,8 @@ class Scratch:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Ask the driver's JVM to collect garbage, so that Spark deletes shuffle files that no plan refers to."""
+    """Collect the driver's garbage, so that Spark deletes shuffle files that no plan refers to."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 

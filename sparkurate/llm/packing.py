@@ -99,8 +99,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col:
         ids_of = word_ids(tokenizer)
         for b in batches:
             rows = []
-            for d, t in zip(b.column(0).to_pylist(), binary_rows(b.column(1)), strict=True):
-                ids = ids_of.document(t) + end
+            for d, ids in zip(b.column(0).to_pylist(), ids_of.documents(binary_rows(b.column(1))), strict=True):
+                ids = ids + end
                 for p, s in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[s : s + 4 * capacity]
                     rows.append((d, p, s // 4, len(part) // 4, zlib.crc32(part)))

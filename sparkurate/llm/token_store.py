@@ -38,7 +38,7 @@ from .tokens import word_ids
 
 WINDOW = 8
 ADDRESS = 16  # bytes
-_MULTIPLIERS = constants(WINDOW, 31)
+MULTIPLIER = constants(1, 31)[0]
 
 
 def chunk_ends(ids: np.ndarray, bits: int = 9, least: int = 128, most: int = 4096) -> list[int]:
@@ -46,11 +46,9 @@ def chunk_ends(ids: np.ndarray, bits: int = 9, least: int = 128, most: int = 409
     n = len(ids)
     if n <= least:
         return [n] if n else []
-    x = ids.astype(np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(WINDOW):
-        h[i:] += (x[: n - i] + U64(1)) * _MULTIPLIERS[i]
-    marks = np.flatnonzero(mix(h) & U64((1 << bits) - 1) == 0) + 1
+    h = np.cumsum(mix(ids.astype(np.uint64) + U64(1)), dtype=np.uint64)
+    h[WINDOW:] -= h[:-WINDOW].copy()  # sums of the last WINDOW ids' hashes
+    marks = np.flatnonzero(h * MULTIPLIER < U64(1 << (64 - bits))) + 1
     ends, last = [], 0
     while n - last > most or len(marks):
         i = int(np.searchsorted(marks, last + least))
@@ -89,8 +87,8 @@ def _objects(tokenizer: str, end: bytes, width: int, batches):
     for b in batches:
         chunks: dict[bytes, bytes] = {}
         recipes = []
-        for d, t in zip(b.column(0).to_pylist(), binary_rows(b.column(1)), strict=True):
-            ids = np.frombuffer(ids_of.document(t) + end, "<u4")
+        for d, got in zip(b.column(0).to_pylist(), ids_of.documents(binary_rows(b.column(1))), strict=True):
+            ids = np.frombuffer(got + end, "<u4")
             raw = ids.astype(kind).tobytes()
             leaves, last = [], 0
             for e in chunk_ends(ids):
@@ -101,10 +99,9 @@ def _objects(tokenizer: str, end: bytes, width: int, batches):
                 last = e
             recipes.append((d, len(ids), b"".join(leaves), merkle(leaves)))
         n, m = len(chunks), len(recipes)
-        by_address = [int.from_bytes(a[:8], "little", signed=True) for a in chunks]
-        by_root = [int.from_bytes(r[3][:8], "little", signed=True) for r in recipes]
+        route = np.frombuffer(b"".join([a[:8] for a in chunks] + [r[3][:8] for r in recipes]), "<i8")
         one = [list(c) for c in zip(*recipes, strict=True)] if recipes else [[]] * 4
-        yield batch(_OBJECT, [by_address + by_root, ["chunk"] * n + ["recipe"] * m, [*chunks, *[None] * m], [*map(press.compress, chunks.values()), *[None] * m], [None] * n + one[0], [None] * n + one[1], [None] * n + one[2], [None] * n + one[3]])
+        yield batch(_OBJECT, [route, ["chunk"] * n + ["recipe"] * m, [*chunks, *[None] * m], [*map(press.compress, chunks.values()), *[None] * m], [None] * n + one[0], [None] * n + one[1], [None] * n + one[2], [None] * n + one[3]])
 
 
 def _once(batches):
@@ -118,13 +115,16 @@ def _once(batches):
         yield b.filter(pa.array(keep))
 
 
+def _write_objects(texts: DataFrame, path: str, make) -> None:
+    made = texts.mapInArrow(make, _OBJECT_SQL).repartition("route").sortWithinPartitions("kind", "address").mapInArrow(_once, _OBJECT_SQL)
+    made.drop("route").write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/objects")
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     spark = docs.sparkSession
     width = 2 if max(word_ids(tokenizer).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    made = texts.mapInArrow(partial(_objects, tokenizer, int(end_id).to_bytes(4, "little"), width), _OBJECT_SQL)
-    made = made.repartition("route").sortWithinPartitions("kind", "address").mapInArrow(_once, _OBJECT_SQL).drop("route")
-    made.write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/objects")
+    _write_objects(texts, path, partial(_objects, tokenizer, int(end_id).to_bytes(4, "little"), width))
     release_shuffles(spark)
     recipes = _read(spark, f"{path}/objects").where("kind = 'recipe'").select("doc_id", "n_tokens", "addresses", "root", F.lit(0).cast("long").alias("start"))
     scratch = Scratch(spark, "store")
@@ -165,11 +165,17 @@ def _documents(with_ids: bool, batches):
     unpress = zstandard.ZstdDecompressor()
     for b in batches:
         rows = []
-        for d, s, n, root, width, parts in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-            parts = sorted(parts, key=lambda x: x["i"])
-            raws = [unpress.decompress(p["payload"]) for p in parts]
-            leaves = [address(r) for r in raws]
-            if leaves != [p["address"] for p in parts] or merkle(leaves) != root:
+        parts = b.column(5)
+        ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        flat = parts.flatten()
+        addresses, payloads = flat.field("address").to_pylist(), flat.field("payload").to_pylist()
+        for r, (d, s, n, root, width) in enumerate(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True)):
+            at = slice(ends[r], ends[r + 1])
+            if None in payloads[at]:
+                raise ValueError(f"document {d} at {s}: a chunk is missing")
+            raws = [unpress.decompress(p) for p in payloads[at]]
+            leaves = [address(x) for x in raws]
+            if leaves != addresses[at] or merkle(leaves) != root:
                 raise ValueError(f"document {d} at {s}: a chunk differs from its address, or the tree from its root")
             ids = np.frombuffer(b"".join(raws), "<u2" if width == 2 else "<u4").astype("<u4").tobytes()
             if len(ids) != 4 * n:
@@ -184,11 +190,12 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFra
     differ = _roots(spark, path).join(spark.read.schema("range int, n_documents long, n_tokens long, root binary").parquet(f"{path}/roots"), ["range", "n_documents", "n_tokens", "root"], "left_anti")
     if differ.take(1):
         raise ValueError("the manifest differs from its roots")
+    release_shuffles(spark)
     recipes = _manifest(spark, path)
     size = ADDRESS
     steps = recipes.select("doc_id", "start", "n_tokens", "root", "width", F.posexplode(F.expr(f"transform(sequence(0, cast(length(addresses) / {size} as int) - 1), i -> substring(addresses, i * {size} + 1, {size}))")).alias("i", "address"))
     chunks = _read(spark, f"{path}/objects").where("kind = 'chunk'").select("address", "payload")
     met = steps.select("start", "i", "address").join(chunks, "address", "left")
-    parts = met.groupBy("start").agg(F.collect_list(F.struct("i", "address", "payload")).alias("parts"))
+    parts = met.groupBy("start").agg(F.array_sort(F.collect_list(F.struct("i", "address", "payload"))).alias("parts"))
     whole = recipes.join(parts, "start").select("doc_id", "start", "n_tokens", "root", "width", "parts")
     return whole.mapInArrow(partial(_documents, with_ids), "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")

@@ -2,53 +2,85 @@
 
 from __future__ import annotations
 
-import numpy as np
+import json
+import os
+import sys
+from array import array
+from collections.abc import Iterator
+
+assert sys.byteorder == "little" and array("I").itemsize == 4
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 #: What may end a word without being a letter or digit to any pre-tokenizer (no apostrophe).
 ENDS = b".,;:!?*&%$#()[]{}|/\\\"-_=+~"
 
 
 class WordIds(dict):
-    """Ids of white-space-delimited words as little-endian unsigned 32-bit bytes, for the first `limit` words.
+    """Ids of white-space-delimited words as little-endian unsigned 32-bit bytes, kept for the first `limit` words.
 
     For tokenizers whose pre-tokenizer drops white space and never looks across it, and that end a
     piece where a letter is followed by punctuation; split_words() tells if a tokenizer file is of that kind.
     """
 
-    limit = 500_000
+    limit = 800_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = split_words(self.tokenizer)
-
-    def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(ENDS)
-        if core and len(core) < len(word) and core.decode().isalpha():
-            ids = self[core] + self[word[len(core) :]]
-        else:
-            ids = self.encode(word)
-        if len(self) < self.limit:
-            self[word] = ids
-        return ids
+        self.passing: list[bytes] = []  # words over the limit, for one batch
 
     def encode(self, text: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _add(self, words: list[bytes], ids: list[bytes]) -> None:
+        room = max(0, self.limit - len(self))
+        self.passing += words[room:]
+        self.update(zip(words, ids, strict=True))
+
+    def learn(self, words: set[bytes]) -> None:
+        """Encode the words that aren't known, all at once; one with punctuation at its end as what is before and after."""
+        for w in self.passing:
+            self.pop(w, None)
+        self.passing = []
+        new = [w for w in words if w not in self]
+        cores = [c if c and len(c) < len(w) and c.decode().isalpha() else w for w, c in ((w, w.rstrip(ENDS)) for w in new)]
+        parts = {p for w, c in zip(new, cores, strict=True) for p in (c, w[len(c) :]) if p and p not in self}
+        parts = list(parts)
+        made = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        self._add(parts, [array("I", e.ids).tobytes() for e in made])
+        rest = [(w, c) for w, c in zip(new, cores, strict=True) if len(c) < len(w)]
+        self._add([w for w, _ in rest], [self[c] + self[w[len(c) :]] for w, c in rest])
+
+    def documents(self, texts: list[bytes], at_once: int = 1 << 24) -> Iterator[bytes]:
+        """Ids of whole texts, equal to the tokenizer's own; texts are taken in portions of some MB."""
+        if not self.by_word:
+            yield from map(self.encode, texts)
+            return
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size < at_once):
+                size += len(texts[end])
+                end += 1
+            # special tokens are found before a text is lower-cased
+            portion = [t if b"<|" in t else t.lower() for t in texts[at:end]]
+            words: set[bytes] = set()
+            for t in portion:
+                words.update(t.split())
+            self.learn(words)
+            get = self.__getitem__
+            for t in portion:
+                yield b"".join(map(get, t.split()))
+            at = end
 
     def document(self, text: bytes) -> bytes:
-        """Ids of a whole text, equal to the tokenizer's own."""
-        if not self.by_word:
-            return self.encode(text)
-        if b"<|" not in text:  # special tokens are found before the text is lower-cased
-            text = text.lower()
-        return b"".join(map(self.__getitem__, text.split()))
+        return next(self.documents([text]))
 
 
 def split_words(tokenizer) -> bool:
     """Whether the tokenizer lower-cases, drops white space and treats words apart from each other."""
-    import json
-
     spec = json.loads(tokenizer.to_str())
     steps = (spec.get("normalizer") or {}).get("normalizers", [])
     pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
