@@ -91,7 +91,7 @@ def brand_key_sql(c: Column | str) -> Column:
 
 def first_brand(c: Column | str) -> Column:
     """The first brand that is not blank of a list with commas or semicolons."""
-    parts = F.filter(F.transform(F.split(_col(c), "[,;]"), F.btrim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(_col(c), "[,;]"), lambda x: F.btrim(x)), lambda x: x != "")
     return F.get(parts, F.lit(0))
 
 

@@ -23,7 +23,7 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
         F.lower(F.regexp_extract("line", "^\\s*([A-Za-z_]+):[A-Za-z]{2}:\\s*(.*?)\\s*$", 1)).alias("prop"), F.regexp_extract("line", "^\\s*([A-Za-z_]+):[A-Za-z]{2}:\\s*(.*?)\\s*$", 2).alias("value"),
         F.lower(F.regexp_extract("line", "^\\s*([A-Za-z_]+):\\s*(.*?)\\s*$", 1)).alias("key"), F.regexp_extract("line", "^\\s*([A-Za-z_]+):\\s*(.*?)\\s*$", 2).alias("rest"),
     )
-    names = F.filter(F.transform(F.split("rest", ","), F.btrim), lambda x: x != "")
+    names = F.filter(F.transform(F.split("rest", ","), lambda x: F.btrim(x)), lambda x: x != "")
     prop, value = F.when(F.col("prop") != "", F.col("prop")).otherwise(F.col("key")), F.when(F.col("prop") != "", F.col("value")).otherwise(F.col("rest"))
     is_name = (F.col("prop") == "") & (F.length("key") == 2)
     first = lambda pattern: F.min_by(F.when((~is_name) & prop.rlike(pattern), value), F.when((~is_name) & prop.rlike(pattern) & (value != ""), F.col("at")))

@@ -70,7 +70,7 @@ def lookup(keys: DataFrame, fetch: Callable[[list], list[dict]], schema: str, si
                     rows = [{**r, "found": True, "error": None} for r in with_retries(fetch, part)]
                 except Exception as e:  # a source that is down is a finding
                     rows = [{names[0]: k, "found": False, "error": str(e)[:2000]} for k in part]
-                yield pd.DataFrame(rows, columns=[*names, "found", "error"])
+                yield pd.DataFrame(rows, columns=[*names, "found", "error"], dtype=object)
 
     return keys.select(first).distinct().mapInPandas(run, f"{schema}, found boolean, error string").withColumn("source", F.lit(source))
 
