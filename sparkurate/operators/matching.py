@@ -11,9 +11,11 @@ from ..functions.text import inci_normalize, normalize_name
 
 def first_by(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in `order`; with min_by, so that rows are combined before they are shuffled."""
-    rest = [c for c in df.columns if c not in key]
-    best = F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rest).alias("r")))
-    return df.groupBy(*key).agg(best.alias("_b")).select(*key, "_b.r.*")
+    rest = F.struct(*[c for c in df.columns if c not in key])
+    by = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    ordered = "map<" not in ",".join(t for _, t in df.dtypes)  # rows with maps have no order of their own to break ties by
+    best = F.min(F.struct(by.alias("o"), rest.alias("r")))["r"] if ordered else F.min_by(rest, by)
+    return df.groupBy(*key).agg(best.alias("_b")).select(*key, "_b.*")
 
 
 def term_index(catalog: DataFrame, aliases: DataFrame) -> DataFrame:
