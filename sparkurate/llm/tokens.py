@@ -53,7 +53,7 @@ class WordIds(dict):
         rest = [(w, c) for w, c in zip(new, cores, strict=True) if len(c) < len(w)]
         self._add([w for w, _ in rest], [self[c] + self[w[len(c) :]] for w, c in rest])
 
-    def documents(self, texts: list[bytes], at_once: int = 1 << 24) -> Iterator[bytes]:
+    def documents(self, texts: list[bytes], at_once: int = 1 << 22) -> Iterator[bytes]:
         """Ids of whole texts, equal to the tokenizer's own; texts are taken in portions of some MB."""
         if not self.by_word:
             yield from map(self.encode, texts)
@@ -65,14 +65,10 @@ class WordIds(dict):
                 size += len(texts[end])
                 end += 1
             # special tokens are found before a text is lower-cased
-            portion = [t if b"<|" in t else t.lower() for t in texts[at:end]]
-            words: set[bytes] = set()
-            for t in portion:
-                words.update(t.split())
-            self.learn(words)
-            get = self.__getitem__
-            for t in portion:
-                yield b"".join(map(get, t.split()))
+            portion = [(t if b"<|" in t else t.lower()).split() for t in texts[at:end]]
+            self.learn(set().union(*portion))
+            for words in portion:
+                yield b"".join(map(self.__getitem__, words))
             at = end
 
     def document(self, text: bytes) -> bytes:
