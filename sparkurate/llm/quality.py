@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, binary_rows, prepare
+from .common import batch, binary_rows, claim, prepare
 
 WORD_BITS, SHAPE_BITS, DENSE = 18, 12, 4
 SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS) + DENSE
@@ -50,6 +50,7 @@ _slots = _Slots()
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Slots and values of a text's features."""
+    claim(_slots)
     words = text.split()
     n = len(words)
     both = np.fromiter(map(_slots.__getitem__, words), dtype=np.int64, count=n)

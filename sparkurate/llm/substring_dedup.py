@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import U64, Scratch, WordHash, batch, binary_rows, constants, id_bitmap, in_bitmap, mix
+from .common import U64, Scratch, WordHash, batch, binary_rows, claim, constants, id_bitmap, in_bitmap, mix
 
 STEP = 8  # windows in a union of the third pass
 _BYTES = constants(256, 21)
@@ -49,6 +49,7 @@ def byte_tokens(text: bytes) -> np.ndarray:
 
 
 def word_tokens(text: bytes) -> np.ndarray:
+    claim(_plain)
     words = text.split()
     return np.fromiter(map(_plain.__getitem__, words), dtype=np.uint64, count=len(words))
 

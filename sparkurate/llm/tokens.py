@@ -8,6 +8,8 @@ import sys
 from array import array
 from collections.abc import Iterator
 
+from .common import claim
+
 assert sys.byteorder == "little" and array("I").itemsize == 4
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
@@ -22,7 +24,7 @@ class WordIds(dict):
     piece where a letter is followed by punctuation; split_words() tells if a tokenizer file is of that kind.
     """
 
-    limit = 800_000
+    limit = 500_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -48,8 +50,10 @@ class WordIds(dict):
         cores = [c if c and len(c) < len(w) and c.decode().isalpha() else w for w, c in ((w, w.rstrip(ENDS)) for w in new)]
         parts = {p for w, c in zip(new, cores, strict=True) for p in (c, w[len(c) :]) if p and p not in self}
         parts = list(parts)
-        made = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-        self._add(parts, [array("I", e.ids).tobytes() for e in made])
+        for i in range(0, len(parts), 4096):  # what the tokenizer gives for a word is much larger than its ids
+            some = parts[i : i + 4096]
+            made = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
+            self._add(some, [array("I", e.ids).tobytes() for e in made])
         rest = [(w, c) for w, c in zip(new, cores, strict=True) if len(c) < len(w)]
         self._add([w for w, _ in rest], [self[c] + self[w[len(c) :]] for w, c in rest])
 
@@ -58,6 +62,7 @@ class WordIds(dict):
         if not self.by_word:
             yield from map(self.encode, texts)
             return
+        claim(self)
         at = 0
         while at < len(texts):
             end, size = at, 0
