@@ -106,7 +106,7 @@ def claim(cache: dict) -> None:
 class WordHash(dict):
     """64-bit hashes of words, remembered for the first `limit` distinct ones."""
 
-    limit = 400_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)

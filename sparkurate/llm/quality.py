@@ -32,7 +32,7 @@ _SHAPE = bytes(ord("0") if 48 <= c < 58 else ord("A") if 65 <= c < 91 else ord("
 class _Slots(dict):
     """word -> its feature slots, as word slot + shape slot << 32."""
 
-    limit = 400_000
+    limit = 150_000
 
     def __missing__(self, word: bytes) -> int:
         core = word.strip(_AROUND).lower() or word
