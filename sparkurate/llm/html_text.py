@@ -4,7 +4,7 @@ A page is scanned into words and tags. Each has a score: the log odds of its kin
 the article on labelled pages (TRAINING). A word's kind is the element it stands in; words of a
 paragraph score positive, tags and words of links, menus and notices negative. One linear scan finds the
 contiguous stretch with the greatest sum. From it, elements that are never the article's text are
-left out (ASIDE, and elements whose class, id or role says so: NOTES), and its blocks are written out.
+left out (ASIDE, and elements whose class, id or role as a whole says so: NOTES), and its blocks are written out.
 
 Character references are decoded, white space in a block is one space, blocks are joined by an
 empty line. A null or empty page, and one where nothing scores, gives the empty text. Unclosed
@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from .common import prepare
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
-_NOTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:\s|^)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 
 # Elements of HTML by what they are for.
 ASIDE = frozenset("nav header footer aside form button select option input label menu dialog head object embed canvas".split())
@@ -35,24 +35,51 @@ HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of class, id and role that mark what is not the article.
 NOTES = frozenset("ad ads adv advert advertisement adverts advertising banner breadcrumb breadcrumbs byline comment comments cookie cookies consent disqus footer header hidden masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promos promoted promotion recommended related replies reply respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription tags toc toolbar widget widgets complementary contentinfo search sitemap".split())
 
+#: Words that say where or what part of a note something is: a name of these and NOTES alone is a note's, as main-nav or related-posts.
+PLACES = frozenset("site page global main top bottom left right primary secondary sticky floating mobile desktop list box bar block area wrap wrapper container section item items link links icon icons button buttons form posts articles stories more slot unit cloud panel".split())
+#: Words of NOTES that are no heading's: ids of sections are made from headings.
+NO_TOPIC = frozenset("ad ads adv advert adverts breadcrumb breadcrumbs comments disqus masthead navbar newsletter pager popup promo promos replies respond sidebar sidebars signup".split())
+#: What holds the page or names its parts is never left out for its names, and the page's frame for no reason.
+FRAME = frozenset(["html", "body"])
+HOLDERS = FRAME | frozenset(["main", "article"]) | HEADING
+#: Elements whose id is the page's own and not an anchor.
+CONTAINERS = frozenset("div ul ol dl table center fieldset details".split())
+_SHOWN = re.compile(r":(?:block|flex|grid|inline|table|contents)")
+
 
 class _Node:
-    __slots__ = ("tag", "aside", "kind")
+    __slots__ = ("tag", "aside", "kind", "note")
+
+    def __init__(self, tag: str, aside: bool, kind: str, note: str = ""):
+        self.tag, self.aside, self.kind, self.note = tag, aside, kind, note
+
+
+def _words(name: str) -> list[str]:
+    return [w for w in re.split(r"[\s_-]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
 
-    def __init__(self, tag: str, aside: bool, kind: str):
-        self.tag, self.aside, self.kind = tag, aside, kind
 
+def _names_note(words: list[str]) -> bool:
+    """Whether a name is a note's as a whole: sidebar or main-nav, not has-sidebar, overflow-hidden or related-work."""
+    return any(w in NOTES for w in words) and all(w in NOTES or w in PLACES for w in words)
 
-def _is_note(attributes: str) -> bool:
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    for m in _NOTE.finditer(attributes):
-        value = m[1] or m[2] or m[3] or ""
-        if not NOTES.isdisjoint(re.split(r"[\s_-]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-            return True
-    return False
+
+def _is_note(tag: str, attributes: str) -> str:
+    """Why an element is left out, if its attributes say so: hidden, header (it may hold the title) or note."""
+    if not attributes or tag in FRAME:
+        return ""
+    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in reversed(list(_ATTRIBUTE.finditer(attributes)))}
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(found.get("style", "")):
+        return "hidden"
+    if tag in HOLDERS:
+        return ""
+    classes = found.get("class", "")
+    names = [_words(c) for c in classes.split() if not (c == "hidden" and _SHOWN.search(classes))]
+    names += [_words(found.get(k, "")) for k in ("role", "aria-label")]
+    own = _words(found.get("id", ""))
+    if tag in CONTAINERS and ["section"] not in names or not NO_TOPIC.isdisjoint(own):
+        names.append(own)
+    notes = [n for n in names if _names_note(n)]
+    return "" if not notes else "header" if all("header" in n for n in notes) else "note"
 
 
 def scan(page: str) -> list[tuple[str, str, bool, bool, int]]:
@@ -95,11 +122,14 @@ def scan(page: str) -> list[tuple[str, str, bool, bool, int]]:
             elif tag in ("li", "dt", "dd", "tr", "option") and stack[-1].tag == tag:
                 stack.pop()
             up = stack[-1]
-            in_title = up.tag == "header" and tag in HEADING and any(n.tag in ("article", "main") for n in stack)
-            aside = (up.aside and not in_title) or tag in ASIDE or _is_note(m[4])
+            note = _is_note(tag, m[4])
+            in_title = (up.tag == "header" or up.note == "header") and tag in HEADING and any(n.tag in ("article", "main") for n in stack)
+            # the page's main part is that within a wrapper which is named as a note, too
+            inherited = up.aside and not in_title and not (tag == "main" and all(n.note != "hidden" and n.tag not in ASIDE for n in stack))
+            aside = inherited or tag in ASIDE or note != ""
             kind = "aside" if aside else "link" if tag == "a" or up.kind == "link" else "heading" if tag in HEADING else tag if tag in BLOCK else up.kind
             if tag not in VOID and not m[4].endswith("/"):
-                stack.append(_Node(tag, aside, kind))
+                stack.append(_Node(tag, aside, kind, note))
             out.append((f"<{'aside' if aside else tag}>", "", False, aside, 0))
         if tag in BLOCK:
             broken = True

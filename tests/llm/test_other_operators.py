@@ -92,6 +92,18 @@ def test_main_text_cases():
     assert t("<article><p>" + "word " * 200_000 + "</article>") == ("word " * 200_000).strip()
 
 
+def test_names_leave_out_notes_only():
+    """Names of wrappers and of the article's own sections leave nothing out; those of notes do."""
+    t = html_text.main_text
+    text = "<h1>Sea</h1><p>One two three four.</p><section id='related-work'><h2 id='search'>Search</h2><p>Five six seven.</p></section><section id='cookies'><p>Eight nine.</p></section><p title='a hidden gem'>Ten.</p>"
+    want = "Sea\n\nOne two three four.\n\nSearch\n\nFive six seven.\n\nEight nine.\n\nTen."
+    for frame in ("<main class='overflow-hidden'>{}</main>", "<body class='has-sidebar'>{}</body>", "<body class='cookies-not-set'>{}", "<html class=hidden><body style='display:none'><article id=comments class='post tags'>{}</article>", "<div class='content-with-sidebar'>{}</div>", "<div class='hidden md:block'>{}</div>", "<div class='page-sidebar'><main>{}</main></div>", "<div data-id=search>{}</div>"):
+        assert t(frame.format(text)) == want, frame
+    assert t("<article><div class=header><h1>Sea</h1><p>by one</p></div><p>One two three.</p></article>") == "Sea\n\nOne two three."
+    for note in ("class=sidebar", "class='x related-posts'", "class=mainNav", "id=site-search", "role=navigation", "aria-label='cookie consent'", "hidden", "aria-hidden='true'", "style='display: none'"):
+        assert t(f"<article>{text}<div {note}><p>No no no.</p></div><p>End.</p></article>") == want + "\n\nEnd.", note
+
+
 def test_pages_table(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("text", F.lit("old"))
     got = {r.page_id: r for r in html_text.extract(pages).collect()}
