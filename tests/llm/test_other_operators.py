@@ -104,6 +104,38 @@ def test_names_leave_out_notes_only():
         assert t(f"<article>{text}<div {note}><p>No no no.</p></div><p>End.</p></article>") == want + "\n\nEnd.", note
 
 
+LINKS = "<ul>" + "".join(f"<li><a href='/{i}'>Three words {i}</a></li>" for i in range(20)) + "</ul>"
+FRAMES = ["<article>{}</article>", "<main>{}</main>", "<main><article>{}</article><div><h2>More</h2>" + LINKS + "</div></main>", "<div>{}</div>", "<section><div>{}</div></section>", "{}"]
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+def test_links_of_an_article(frame):
+    """Bylines, tables of contents, links in tables and lists of sources are the article's; lists around it are not."""
+    text = "<p>The sea comes and goes twice a day, as the moon pulls it.</p>"
+    more = "<h2>Why</h2><p>So it <a href='/is'>is</a>.</p>"
+    for parts in (
+        ["<p><a href='/j'>Jane Doe</a></p>", text, more],
+        [LINKS, text, more],
+        [text, more, "<h2>Sources</h2>", LINKS],
+        [text, LINKS, "<p>Few words at the end.</p>"],
+        [text, "<table><tr><td><a href='/h'>High</a></td><td>6.10</td></tr></table>", more, "<p><a href='/1'>One</a>, <a href='/2'>two</a></p>"],
+    ):
+        inner = "<h1>Sea Tides</h1>" + "".join(parts)
+        page = f"<body><nav>{LINKS}</nav><div>{LINKS}</div>{frame.format(inner)}<div><a href='/t'>Terms of use</a> <a href='/p'>Privacy</a></div><footer><p>A paper</p></footer></body>"
+        want = re.sub(r"\s+", " ", re.sub("<[^>]*>", " ", inner)).split()
+        got = html_text.main_text(page).split()
+        assert "".join(got) == "".join(want), (parts, " ".join(got))
+
+
+def test_links_around_an_article():
+    """Menus that nothing marks are no part of it, and bare text of div elements is."""
+    t = html_text.main_text
+    assert t(f"<main>{LINKS}<h1>Title</h1><p>One two.</p></main>") == "Title\n\nOne two."
+    got = t(f"<body>{LINKS}<div>Text one two<br><br>Text three <a href=x>link</a> four five six seven eight nine ten eleven.<br>End words.</div><div><a href=/>Terms</a></div>")
+    assert got == "Text one two Text three link four five six seven eight nine ten eleven. End words."
+    assert t(f"<body><h1><a href=/>Site</a></h1>{LINKS}<div><h2>Title here</h2><p>One two three four five six.</p></div><div><h3>Related</h3>{LINKS}</div>") == "Title here\n\nOne two three four five six."
+
+
 def test_pages_table(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("text", F.lit("old"))
     got = {r.page_id: r for r in html_text.extract(pages).collect()}
