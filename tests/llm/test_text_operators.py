@@ -118,6 +118,26 @@ def test_substring_dedup_odd(odd, depth):
     assert Counter(got) == Counter(want)
 
 
+@pytest.mark.parametrize("depth", [24, 60, 400])
+def test_substring_dedup_periodic(spark, depth):
+    """Periodic texts of one union: only what starts at two places is repeated."""
+    reach = max(1, depth // 3 // substring_dedup.STEP * substring_dedup.STEP)
+    texts = []
+    for k, n in enumerate([depth, depth + 1, depth + reach // 2, depth + reach - 1, depth + reach, depth + 2 * reach + 1]):
+        for j, period in enumerate([1, 2, 3, 7, depth // 2, depth - 1, depth + 1]):
+            at = 200 + 97 * (7 * k + j)  # letters of its own for each text
+            texts.append(("".join(chr(at + i) for i in range(min(period, 97))) * n)[:n])
+        run = "".join(chr(9000 + 200 * k + i) for i in range(60))
+        texts.append((run[:10] + " -"[k % 2] * (n - 15) + run[10:15])[:n])
+    texts += [texts[1], "x" * depth + "y" * reach, "y" + "x" * depth]
+    rows = [(i, t.encode()) for i, t in enumerate(texts)]
+    want = [(i, len(t), int(m.sum())) for (i, t), m in zip(rows, removed([t for _, t in rows], depth), strict=True)]
+    got = substring_dedup.removed_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), depth).select("doc_id", "n_bytes", "n_removed").collect()
+    assert sorted(map(tuple, got)) == want
+    alone = [(0, "a" * depth), (1, "bc" * (depth // 2)), (2, "#" * 5 + "-" * (depth - 2) + "=" * 3)]
+    assert [r.n_removed for r in substring_dedup.removed_spans(spark.createDataFrame(alone, "doc_id long, text string"), depth).collect()] == [0, 0, 0]
+
+
 def test_substring_dedup_words(spark):
     shared = prose(1, 60)
     rows = [(1, prose(20, 30) + " " + shared + "  " + prose(21, 30)), (2, shared), (3, prose(22, 80)), (4, None)]
@@ -126,6 +146,11 @@ def test_substring_dedup_words(spark):
     assert got[2] == "" and got[3] == rows[2][1] and got[4] == ""
 
 
+def test_substring_dedup_words_of_one_window(spark):
+    once = [(1, "the " * 50 + "end"), (2, "so on " * 25)]
+    assert {r.doc_id: r.kept for r in substring_dedup.removed_spans(spark.createDataFrame(once, "doc_id long, text string"), 50, "words", keep_text=True).collect()} == dict(once)
+
+
 def test_quality_keeps_clean_and_drops_toxic(spark):
     rows, labels = [], []
     for i in range(400):
