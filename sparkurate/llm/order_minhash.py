@@ -19,7 +19,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import U64, batch, binary_rows, mix, parallelism, prepare
@@ -94,13 +94,21 @@ def in_id_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ids = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     keys = docs.select(ids.alias("k"))
     least = keys.agg(F.min("k")).first()[0]
-    cuts = sorted({int(c) for c in keys.approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n)} - {least}) if least is not None else []
-    cuts = [least if least is not None else 0, *cuts]
+
+    def range_of(cuts: list[int]) -> Column:
+        bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
+        halves = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])  # steps of a binary search
+        return F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step) <= k, at + step).otherwise(at))
+
+    cuts, k = [0], F.col("k")
+    if least is not None:  # quantiles are doubles, and need not be ids beyond 2**53: the least id of each range is
+        near = {min(int(c), 2**63 - 1) for c in keys.approxQuantile("k", [i / n for i in range(1, n)], 0.2 / n)}
+        near = [least, *sorted(c for c in near if c > least)]
+        cuts = sorted(r.k for r in keys.groupBy(range_of(near).alias("r")).agg(F.min("k").alias("k")).collect())
+    k = F.col("_k")
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), ids.alias("_k"))
-    halves = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])  # steps of a binary search
-    part = F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step) <= F.col("_k"), at + step).otherwise(at))
-    rows = rows.withColumn("_part", part)
+    rows = rows.withColumn("_part", range_of(cuts))
     part, at_cut = F.col("_part"), F.get(bounds, F.col("_part")) == F.col("_k")
     before = F.when(F.col("_k") == cuts[0], F.lit(len(cuts) - 1)).otherwise(part - 1)
     own, copy = F.struct(part.alias("_part"), F.lit(False).alias("_next")), F.struct(before.cast("int").alias("_part"), F.lit(True).alias("_next"))
@@ -151,5 +159,7 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 held, closed = (None, p) if nxt else ((d, t, s), closed)
             if rows:
                 yield batch(_OUT, [list(c) for c in zip(*rows, strict=True)])
+        if held is not None:
+            raise ValueError(f"document {held[0]} has no following one")
 
     return in_id_order(docs, id_col, text_col).mapInArrow(run, _OUT_SQL)

@@ -267,6 +267,14 @@ def test_order_minhash_odd(odd):
     assert Counter(tuple(r) for r in order_minhash.edit_comparison(odd).collect()) == Counter(want)
 
 
+def test_order_minhash_large_ids(spark):
+    """Ids beyond 2**53, which doubles don't hold, lose no document."""
+    ids = sorted({int(x) for x in np.random.default_rng(3).integers(-(2**63), 2**63, 398)} | {2**63 - 1, 2**63 - 2})
+    rows = [(i, f"text {i}") for i in ids]
+    got = {r.doc_id: r.edited_sha256 for r in order_minhash.edit_comparison(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {i: hashlib.sha256(order_minhash.edited(t, n).encode()).hexdigest() for (i, t), (_, n) in zip(rows, [*rows[1:], rows[0]], strict=True)}
+
+
 def test_order_minhash_sees_order():
     a = prose(1, 200).split()
     b = a[100:] + a[:100]
