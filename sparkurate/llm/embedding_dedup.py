@@ -12,13 +12,15 @@ A tile gives counts and a spanning forest of its links, so what it gives is boun
 are not listed. All pairs of blocks that the bounds leave are compared, so no link is lost. The work of
 the first products is quadratic in the number of different vectors.
 
-Vectors that are null, empty, zero, or hold null or non-finite components, and those of another
-dimension than most, have no links: component and kept are their own. Rows that repeat an id count as one node in
+Vectors of each dimension are compared with each other. Those that are null, empty, zero, or hold null
+or non-finite components have no links: component and kept are their own. Rows that repeat an id count as one node in
 components; null ids have a null component and are kept.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -75,99 +77,101 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
     sound = F.coalesce(F.size("v") > 0, F.lit(False)) & F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     sound = sound & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
-    size = rows.where(sound).groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if size is None:
+    dims = [r.d for r in rows.where(sound).groupBy(F.size("v").alias("d")).count().where("count > 1").orderBy("d").collect()]
+    if not dims:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = size.d
-    lead = min(leading, dim)
-    sound = sound & (F.size("v") == dim)
-    keyed = scratch.keep(rows.select("vec_id", sound.alias("sound"), F.when(sound, F.xxhash64("v")).alias("h"), F.when(sound, F.xxhash64(F.lit(5), "v")).alias("g")), "keys")
-    classes = scratch.keep(keyed.where("sound").groupBy("h", "g").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")), "classes")
-    reps = rows.where(sound).withColumns({"h": F.xxhash64("v"), "g": F.xxhash64(F.lit(5), "v")}).join(classes, ["h", "g"]).where("vec_id = rep").dropDuplicates(["h", "g"]).select("vec_id", "m", "v")
-
-    taken = rows.where(sound).select("v").orderBy(F.xxhash64("v")).limit(sample).toArrow()
-    flat = np.array(taken.column(0).combine_chunks().flatten()).reshape(-1, dim)
-    flat = flat / np.abs(flat).max(1, keepdims=True)
-    basis = axes(flat / np.sqrt((flat * flat).sum(1, keepdims=True)))
-    shared = spark.sparkContext.broadcast(basis)
-
-    turned = pa.schema([("vec_id", pa.int64()), ("m", pa.int64()), ("first", pa.float64()), ("full", pa.binary()), ("lead", pa.binary()), ("norm", pa.float64())])
-
-    def turn(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            full = np.asarray(b.column(2).flatten()).reshape(-1, dim)
-            top = np.abs(full).max(1)
-            full = full / top[:, None]  # no overflow, and the cosine is the same
-            norm = np.sqrt((full * full).sum(1))
-            r = full @ shared.value / norm[:, None]
-            head = r[:, :lead]
-            rest = np.sqrt(np.maximum(0, 1 - (head * head).sum(1)))
-            both = np.concatenate([head, rest[:, None]], 1).astype(np.float32)
-            yield batch(turned, [b.column(0), b.column(1), r[:, 0], [x.tobytes() for x in full], [x.tobytes() for x in both], norm])
-
-    turned_sql = "vec_id long, m long, first double, full binary, lead binary, norm double"
-    n = classes.count()
-    placed = reps.mapInArrow(turn, turned_sql)
-    parts = max(1, -(-n // (BLOCK * SIDE)))
-    placed = placed.repartitionByRange(parts, "first", "vec_id").sortWithinPartitions("first", "vec_id")
-    block = pa.schema([("side", pa.int64()), ("block", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()), ("m", pa.binary()), ("full", pa.binary()), ("lead", pa.binary()), ("norm", pa.binary())])
-
-    def cut(batches):
-        from pyspark import TaskContext
-
-        held, k = None, TaskContext.get().partitionId() << 24
-
-        def made(x, k):
-            first = x.column("first").to_numpy()
-            raw = [x.column(c).to_numpy().tobytes() for c in ("vec_id", "m", "norm")]
-            bulk = [b"".join(x.column(c).to_pylist()) for c in ("full", "lead")]
-            return batch(block, [[k // SIDE], [k], [float(first.min())], [float(first.max())], [raw[0]], [raw[1]], [bulk[0]], [bulk[1]], [raw[2]]])
-
-        for b in batches:
-            held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            while held.num_rows >= BLOCK:
-                yield made(held.slice(0, BLOCK), k)
-                held, k = held.slice(BLOCK), k + 1
-        if held is not None and held.num_rows:
-            yield made(held, k)
-
-    blocks = scratch.keep(placed.mapInArrow(cut, "side long, block long, low double, high double, ids binary, m binary, full binary, lead binary, norm binary"), "blocks")
-
-    # Which sides of blocks meet: those within reach of each other along the first axis.
-    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    sides = blocks.groupBy("side").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    grid = lambda c: F.floor(F.col(c) / reach)
-    one = sides.select(F.col("side").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha"), F.explode(F.sequence(grid("low") - 1, grid("high") + 1)).alias("cell"))
-    two = sides.select(F.col("side").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb"), F.explode(F.sequence(grid("low"), grid("high"))).alias("cell"))
-    meet = one.join(two, "cell").where((F.col("a") <= F.col("b")) & (F.col("lb") <= F.col("ha") + reach) & (F.col("la") <= F.col("hb") + reach)).select("a", "b").distinct()
-    sent = meet.withColumn("side", F.explode(F.array_distinct(F.array("a", "b")))).join(blocks, "side")
-
-    def compare(key, pdf):
-        ga, gb = key
-        got = [
-            (r.side, r.block, {"ids": np.frombuffer(r.ids, np.int64), "m": np.frombuffer(r.m, np.int64), "norm": np.frombuffer(r.norm, np.float64), "full": np.frombuffer(r.full, np.float64).reshape(-1, dim), "lead": np.frombuffer(r.lead, np.float32).reshape(-1, lead + 1)})
-            for r in pdf.itertuples()
-        ]
-        out = []
-        for sa, ba, a in got:
-            for sb, bb, b in got:
-                if sa != ga or sb != gb or (ga == gb and ba < bb):
-                    continue
-                x, y = tile_links(a, b, ba == bb, threshold)
-                if not len(x):
+    keyed = scratch.keep(rows.select("vec_id", sound.alias("sound"), F.when(sound, F.xxhash64("v")).alias("h"), F.when(sound, F.xxhash64(F.lit(5), "v")).alias("g"), F.size("v").alias("d")), "keys")
+    classes = scratch.keep(keyed.where("sound").groupBy("h", "g", "d").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")), "classes")
+
+    def links_of(dim: int) -> DataFrame:
+        """Links of the vectors of one dimension."""
+        lead, here = min(leading, dim), sound & (F.size("v") == dim)
+        reps = rows.where(here).withColumns({"h": F.xxhash64("v"), "g": F.xxhash64(F.lit(5), "v")}).join(classes.where(F.col("d") == dim).drop("d"), ["h", "g"]).where("vec_id = rep").dropDuplicates(["h", "g"]).select("vec_id", "m", "v")
+
+        taken = rows.where(here).select("v").orderBy(F.xxhash64("v")).limit(sample).toArrow()
+        flat = np.array(taken.column(0).combine_chunks().flatten()).reshape(-1, dim)
+        flat = flat / np.abs(flat).max(1, keepdims=True)
+        basis = axes(flat / np.sqrt((flat * flat).sum(1, keepdims=True)))
+        shared = spark.sparkContext.broadcast(basis)
+
+        turned = pa.schema([("vec_id", pa.int64()), ("m", pa.int64()), ("first", pa.float64()), ("full", pa.binary()), ("lead", pa.binary()), ("norm", pa.float64())])
+
+        def turn(batches):
+            for b in batches:
+                if not b.num_rows:
                     continue
-                na = len(a["ids"])
-                ids, m = (a[c] if ba == bb else np.concatenate([a[c], b[c]]) for c in ("ids", "m"))
-                y = y if ba == bb else y + na
-                links = np.bincount(x, weights=m[y], minlength=len(ids)) + np.bincount(y, weights=m[x], minlength=len(ids))
-                on = np.flatnonzero(links)
-                # stars around the smallest index; components() takes them to the smallest id
-                out.append(pd.DataFrame({"u": ids[on], "v": ids[forest(len(ids), x, y)[on]], "n": links[on].astype(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"u": pd.Series([], dtype="int64"), "v": pd.Series([], dtype="int64"), "n": pd.Series([], dtype="int64")})
-
-    found = scratch.keep(sent.groupBy("a", "b").applyInPandas(compare, "u long, v long, n long"), "links")
+                full = np.asarray(b.column(2).flatten()).reshape(-1, dim)
+                top = np.abs(full).max(1)
+                full = full / top[:, None]  # no overflow, and the cosine is the same
+                norm = np.sqrt((full * full).sum(1))
+                r = full @ shared.value / norm[:, None]
+                head = r[:, :lead]
+                rest = np.sqrt(np.maximum(0, 1 - (head * head).sum(1)))
+                both = np.concatenate([head, rest[:, None]], 1).astype(np.float32)
+                yield batch(turned, [b.column(0), b.column(1), r[:, 0], [x.tobytes() for x in full], [x.tobytes() for x in both], norm])
+
+        turned_sql = "vec_id long, m long, first double, full binary, lead binary, norm double"
+        n = classes.where(F.col("d") == dim).count()
+        placed = reps.mapInArrow(turn, turned_sql)
+        parts = max(1, -(-n // (BLOCK * SIDE)))
+        placed = placed.repartitionByRange(parts, "first", "vec_id").sortWithinPartitions("first", "vec_id")
+        block = pa.schema([("side", pa.int64()), ("block", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()), ("m", pa.binary()), ("full", pa.binary()), ("lead", pa.binary()), ("norm", pa.binary())])
+
+        def cut(batches):
+            from pyspark import TaskContext
+
+            held, k = None, TaskContext.get().partitionId() << 24
+
+            def made(x, k):
+                first = x.column("first").to_numpy()
+                raw = [x.column(c).to_numpy().tobytes() for c in ("vec_id", "m", "norm")]
+                bulk = [b"".join(x.column(c).to_pylist()) for c in ("full", "lead")]
+                return batch(block, [[k // SIDE], [k], [float(first.min())], [float(first.max())], [raw[0]], [raw[1]], [bulk[0]], [bulk[1]], [raw[2]]])
+
+            for b in batches:
+                held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+                while held.num_rows >= BLOCK:
+                    yield made(held.slice(0, BLOCK), k)
+                    held, k = held.slice(BLOCK), k + 1
+            if held is not None and held.num_rows:
+                yield made(held, k)
+
+        blocks = scratch.keep(placed.mapInArrow(cut, "side long, block long, low double, high double, ids binary, m binary, full binary, lead binary, norm binary"), f"blocks{dim}")
+
+        # Which sides of blocks meet: those within reach of each other along the first axis.
+        reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
+        sides = blocks.groupBy("side").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        grid = lambda c: F.floor(F.col(c) / reach)
+        one = sides.select(F.col("side").alias("a"), F.col("low").alias("la"), F.col("high").alias("ha"), F.explode(F.sequence(grid("low") - 1, grid("high") + 1)).alias("cell"))
+        two = sides.select(F.col("side").alias("b"), F.col("low").alias("lb"), F.col("high").alias("hb"), F.explode(F.sequence(grid("low"), grid("high"))).alias("cell"))
+        meet = one.join(two, "cell").where((F.col("a") <= F.col("b")) & (F.col("lb") <= F.col("ha") + reach) & (F.col("la") <= F.col("hb") + reach)).select("a", "b").distinct()
+        sent = meet.withColumn("side", F.explode(F.array_distinct(F.array("a", "b")))).join(blocks, "side")
+
+        def compare(key, pdf):
+            ga, gb = key
+            got = [
+                (r.side, r.block, {"ids": np.frombuffer(r.ids, np.int64), "m": np.frombuffer(r.m, np.int64), "norm": np.frombuffer(r.norm, np.float64), "full": np.frombuffer(r.full, np.float64).reshape(-1, dim), "lead": np.frombuffer(r.lead, np.float32).reshape(-1, lead + 1)})
+                for r in pdf.itertuples()
+            ]
+            out = []
+            for sa, ba, a in got:
+                for sb, bb, b in got:
+                    if sa != ga or sb != gb or (ga == gb and ba < bb):
+                        continue
+                    x, y = tile_links(a, b, ba == bb, threshold)
+                    if not len(x):
+                        continue
+                    na = len(a["ids"])
+                    ids, m = (a[c] if ba == bb else np.concatenate([a[c], b[c]]) for c in ("ids", "m"))
+                    y = y if ba == bb else y + na
+                    links = np.bincount(x, weights=m[y], minlength=len(ids)) + np.bincount(y, weights=m[x], minlength=len(ids))
+                    on = np.flatnonzero(links)
+                    # stars around the smallest index; components() takes them to the smallest id
+                    out.append(pd.DataFrame({"u": ids[on], "v": ids[forest(len(ids), x, y)[on]], "n": links[on].astype(np.int64)}))
+            return pd.concat(out) if out else pd.DataFrame({"u": pd.Series([], dtype="int64"), "v": pd.Series([], dtype="int64"), "n": pd.Series([], dtype="int64")})
+
+        return scratch.keep(sent.groupBy("a", "b").applyInPandas(compare, "u long, v long, n long"), f"links{dim}")
+    found = functools.reduce(DataFrame.unionByName, [links_of(dim) for dim in dims])
     nodes = components(found.select("u", "v"), scratch)
     counts = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("n"))
     of = classes.join(counts, "rep", "left").join(nodes.withColumnRenamed("node", "rep"), "rep", "left")

@@ -40,6 +40,12 @@ def test_near_duplicates_against_all_pairs(spark):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
 
 
+def test_near_duplicates_of_each_dimension(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.1, 0.0]), (6, [0.0, 1.0, 0.0]), (7, [5.0]), (8, [1.0] * 4)]
+    got = {tuple(x) for x in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {(1, 1, 1, True), (2, 1, 1, False), (3, 2, 3, True), (4, 2, 3, False), (5, 2, 3, False), (6, 0, 6, True), (7, 0, 7, True), (8, 0, 8, True)}
+
+
 def test_near_duplicates_of_floats_and_nothing(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 3.0]), (None, [1.0, 0.0])], "vec_id long, embedding array<float>")
     got = sorted(embedding_dedup.near_duplicates(df).collect(), key=str)
