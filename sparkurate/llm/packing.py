@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, binary_rows, prefix_sums
+from .common import Scratch, arrow_map, batch, prefix_sums
 from .tokens import word_ids
 
 
@@ -99,7 +99,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col:
         ids_of = word_ids(tokenizer)
         for b in batches:
             rows = []
-            for d, ids in zip(b.column(0).to_pylist(), ids_of.documents(binary_rows(b.column(1))), strict=True):
+            for d, ids in zip(b.column(0).to_pylist(), ids_of.documents(b.column(1)), strict=True):
                 ids = ids + end
                 for p, s in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[s : s + 4 * capacity]
@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col:
                 yield batch(out, [list(c) for c in zip(*rows, strict=True)])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return texts.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return texts.transform(arrow_map, cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(lengths: DataFrame, capacity: int, order: list[str], scratch: Scratch) -> DataFrame:
@@ -131,7 +131,7 @@ def pack(lengths: DataFrame, capacity: int, order: list[str], scratch: Scratch)
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.get_field_index(c)) for c in keep), pa.array(run[:, 2] + q // run[:, 3]), pa.array(run[:, 4] + q % run[:, 3] * n)], names=[*keep, "sequence_id", "offset"])
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank"]
-    return ranked.mapInArrow(place, ", ".join([*kept, "sequence_id long", "offset long"]))
+    return ranked.transform(arrow_map, place, ", ".join([*kept, "sequence_id long", "offset long"]))
 
 
 def packed_sequences(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
