@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,20 +21,28 @@ U64 = np.uint64
 # --------------------------------------------------------------------------- session and scratch tables
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package when it was found through the driver's sys.path only."""
+    """Let Python workers import this package when it was found through the driver's sys.path only.
+
+    Batches for Python are bounded by bytes, as texts are; a bound that isn't Spark's own default stays.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    if spark.conf.get(BATCH) == "67108864b":
+        spark.conf.set(BATCH, "8m")
 
 
 class Scratch:
     """Intermediate tables as Parquet in the folder that spark.checkpoint.dir names.
 
-    A written table cuts the lineage and survives lost executors. Where the setting is absent
-    (tests, a single machine) a temporary folder is used.
+    A written table cuts the lineage and survives lost executors. On a single machine a temporary
+    folder serves where the setting is absent; executors of a cluster have no folder in common without it.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -41,6 +50,8 @@ class Scratch:
         self.spark = spark
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + tempfile.gettempdir()
         self.root = f"{base.rstrip('/')}/sparkurate/{label}-{uuid.uuid4().hex[:12]}"
 
@@ -91,16 +102,38 @@ def constants(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, dtype=np.uint64) * U64(2) + U64(1)
 
 
-_claimed: list[dict] = []
+_claimed: list = []
 
 
-def claim(cache: dict) -> None:
-    """A Python worker serves many operators: the cache in use is the only one that is filled."""
+def claim(cache) -> None:
+    """A Python worker serves many operators: the cache in use (anything with clear()) is the only one that is filled."""
     if _claimed and _claimed[0] is cache:
         return
     for other in _claimed:
         other.clear()
     _claimed[:] = [cache]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and others need it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+_libc = ctypes.CDLL(None)
+
+
+def arrow_map(df: DataFrame, f: Callable, schema) -> DataFrame:
+    """df.mapInArrow(f, schema), with batches bounded by bytes and memory given back when a task ends."""
+    prepare(df.sparkSession)
+
+    def run(batches):
+        yield from f(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 class WordHash(dict):
@@ -182,7 +215,7 @@ def sum_counters(df: DataFrame, bits: int, block: int = 1 << 14) -> np.ndarray:
             yield batch(out, [list(total), [np.minimum(v, 2**32 - 1).astype("<u4").tobytes() for v in total.values()]])
 
     counts = np.zeros(n * block, np.uint64)
-    for row in df.select("block", "counts").repartition(min(n, 16), "block").mapInArrow(add, "block int, counts binary").collect():
+    for row in df.select("block", "counts").repartition(min(n, 16), "block").transform(arrow_map, add, "block int, counts binary").collect():
         counts[row.block * block : (row.block + 1) * block] += np.frombuffer(row.counts, "<u4").astype(np.uint64)
     return counts
 
@@ -224,7 +257,7 @@ def id_bitmap(ids: DataFrame, bits: int = ID_BITS) -> np.ndarray:
 
     bitmap = np.zeros(size // 8, np.uint8)
     step = size // 8 // 64
-    made = ids.mapInArrow(fill, "block int, bits binary").repartition(16, "block").mapInArrow(join, "block int, bits binary")
+    made = ids.transform(arrow_map, fill, "block int, bits binary").repartition(16, "block").transform(arrow_map, join, "block int, bits binary")
     for row in made.collect():
         bitmap[row.block * step : (row.block + 1) * step] |= np.frombuffer(row.bits, np.uint8)
     return bitmap
@@ -247,7 +280,7 @@ def only_ids(df: DataFrame, bitmap: np.ndarray, id_col: str = "doc_id") -> DataF
             if mask.any():
                 yield b.filter(pa.array(mask))
 
-    return df.mapInArrow(pick, df.schema)
+    return df.transform(arrow_map, pick, df.schema)
 
 
 # --------------------------------------------------------------------------- ranks and prefix sums
@@ -323,7 +356,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     u, v = edges.columns[:2]
     schema = "u long, v long"
     e = edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u is not null and v is not null and u <> v")
-    e = scratch.keep(e.mapInArrow(_forest, schema), f"{name}0")
+    e = scratch.keep(e.transform(arrow_map, _forest, schema), f"{name}0")
     last = None
     for step in range(1, 60):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -339,6 +372,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         if now == last:
             break
         last = now
+    else:
+        raise RuntimeError("components did not converge")
     nodes = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = e.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return nodes.unionByName(roots)
