@@ -7,12 +7,12 @@ a digest of their ids, and each is stored once. A document's recipe lists the ad
 Layout of a store (a folder that Spark can write to):
 
     objects/kind=chunk   address binary, payload binary (zstd of little-endian ids of `width` bytes)
-    manifest/            range int, place long, doc_id, n_tokens, start, addresses binary, root binary
+    manifest/            range long, doc_id, n_tokens, start, addresses binary, root binary
                          rows in ascending doc_id order (nulls first), start: ids of all before it
-    roots/               range int, n_documents, n_tokens, root binary
+    roots/               range long, n_documents, n_tokens, root binary
 
 `root` is the root of a Merkle tree over a document's chunk addresses, and in roots/ over the roots of
-the documents of a range. Reading checks each chunk against its address, each document against
+the documents of a range, of 1,024 in their order. Reading checks each chunk against its address, each document against
 its root and length, and each range against its root; it raises on the first difference.
 
 Nothing but the recipes is sorted; ids are shuffled once when written, as chunks, after each batch
@@ -33,11 +33,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, batch, binary_rows, constants, mix, prefix_sums, release_shuffles
+from .common import U64, Scratch, arrow_map, batch, constants, mix, prefix_sums, release_shuffles
 from .tokens import word_ids
 
 WINDOW = 8
 ADDRESS = 16  # bytes
+RANGE = 1024  # documents under a root of the manifest
 MULTIPLIER = constants(1, 31)[0]
 
 
@@ -87,7 +88,7 @@ def _objects(tokenizer: str, end: bytes, width: int, batches):
     for b in batches:
         chunks: dict[bytes, bytes] = {}
         recipes = []
-        for d, got in zip(b.column(0).to_pylist(), ids_of.documents(binary_rows(b.column(1))), strict=True):
+        for d, got in zip(b.column(0).to_pylist(), ids_of.documents(b.column(1)), strict=True):
             ids = np.frombuffer(got + end, "<u4")
             raw = ids.astype(kind).tobytes()
             leaves, last = [], 0
@@ -99,7 +100,10 @@ def _objects(tokenizer: str, end: bytes, width: int, batches):
                 last = e
             recipes.append((d, len(ids), b"".join(leaves), merkle(leaves)))
         n, m = len(chunks), len(recipes)
-        route = np.frombuffer(b"".join([a[:8] for a in chunks] + [r[3][:8] for r in recipes]), "<i8")
+        # recipes need no company: those of equal documents are dealt out by their place
+        route = np.frombuffer(b"".join([a[:8] for a in chunks] + [r[3][:8] for r in recipes]), "<u8").copy()
+        route[n:] = mix(route[n:] + np.arange(m, dtype=np.uint64))
+        route = route.view(np.int64)
         one = [list(c) for c in zip(*recipes, strict=True)] if recipes else [[]] * 4
         yield batch(_OBJECT, [route, ["chunk"] * n + ["recipe"] * m, [*chunks, *[None] * m], [*map(press.compress, chunks.values()), *[None] * m], [None] * n + one[0], [None] * n + one[1], [None] * n + one[2], [None] * n + one[3]])
 
@@ -116,8 +120,8 @@ def _once(batches):
 
 
 def _write_objects(texts: DataFrame, path: str, make) -> None:
-    made = texts.mapInArrow(make, _OBJECT_SQL).repartition("route").sortWithinPartitions("kind", "address").mapInArrow(_once, _OBJECT_SQL)
-    made.drop("route").write.partitionBy("kind").option("compression", "zstd").parquet(f"{path}/objects")
+    made = texts.transform(arrow_map, make, _OBJECT_SQL).repartition("route").sortWithinPartitions("kind", "address").transform(arrow_map, _once, _OBJECT_SQL)
+    made.drop("route").write.partitionBy("kind").option("compression", "none").parquet(f"{path}/objects")  # payloads are compressed, and digests can't be
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -129,8 +133,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
     recipes = _read(spark, f"{path}/objects").where("kind = 'recipe'").select("doc_id", "n_tokens", "addresses", "root", F.lit(0).cast("long").alias("start"))
     scratch = Scratch(spark, "store")
     order = [F.col("doc_id").asc_nulls_first(), F.col("root")]
-    placed = prefix_sums(recipes, order, {"start": F.col("n_tokens")}, scratch, "recipes")
-    ranges = placed.repartitionByRange(*order).sortWithinPartitions("start").withColumn("range", F.spark_partition_id())
+    placed = prefix_sums(recipes.withColumn("place", F.lit(0).cast("long")), order, {"start": F.col("n_tokens"), "place": F.lit(1)}, scratch, "recipes")
+    ranges = placed.repartitionByRange("start").sortWithinPartitions("start").withColumn("range", F.floor(F.col("place") / RANGE).cast("long"))
     ranges.select("range", "doc_id", "start", "n_tokens", "addresses", "root", F.lit(width).alias("width")).write.option("compression", "zstd").parquet(f"{path}/manifest")
     _roots(spark, path).write.parquet(f"{path}/roots")
     scratch.drop("")
@@ -142,20 +146,20 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("range int, doc_id long, start long, n_tokens long, addresses binary, root binary, width int").parquet(f"{path}/manifest")
+    return spark.read.schema("range long, doc_id long, start long, n_tokens long, addresses binary, root binary, width int").parquet(f"{path}/manifest")
 
 
 def _roots(spark: SparkSession, path: str) -> DataFrame:
-    """A Merkle root for each range of the manifest; ranges are bounded by the writer's partitions."""
+    """A Merkle root for each RANGE documents of the manifest, in their order."""
     leaves = F.sort_array(F.collect_list(F.struct("start", "root")))
     by_range = _manifest(spark, path).groupBy("range").agg(F.count("*").alias("n_documents"), F.sum("n_tokens").alias("n_tokens"), leaves.alias("leaves"))
-    out = pa.schema([("range", pa.int32()), ("n_documents", pa.int64()), ("n_tokens", pa.int64()), ("root", pa.binary())])
+    out = pa.schema([("range", pa.int64()), ("n_documents", pa.int64()), ("n_tokens", pa.int64()), ("root", pa.binary())])
 
     def tree(batches):
         for b in batches:
             yield batch(out, [*b.columns[:3], [merkle([x["root"] for x in v]) for v in b.column(3).to_pylist()]])
 
-    return by_range.mapInArrow(tree, "range int, n_documents long, n_tokens long, root binary")
+    return by_range.transform(arrow_map, tree, "range long, n_documents long, n_tokens long, root binary")
 
 
 _DOCUMENT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64())])
@@ -187,7 +191,7 @@ def _documents(with_ids: bool, batches):
 
 def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids, ids_crc32) of each document, verified; ids: little-endian unsigned 32-bit."""
-    differ = _roots(spark, path).join(spark.read.schema("range int, n_documents long, n_tokens long, root binary").parquet(f"{path}/roots"), ["range", "n_documents", "n_tokens", "root"], "left_anti")
+    differ = _roots(spark, path).join(spark.read.schema("range long, n_documents long, n_tokens long, root binary").parquet(f"{path}/roots"), ["range", "n_documents", "n_tokens", "root"], "left_anti")
     if differ.take(1):
         raise ValueError("the manifest differs from its roots")
     release_shuffles(spark)
@@ -198,4 +202,4 @@ def read_store(spark: SparkSession, path: str, with_ids: bool = True) -> DataFra
     met = steps.select("start", "i", "address").join(chunks, "address", "left")
     parts = met.groupBy("start").agg(F.array_sort(F.collect_list(F.struct("i", "address", "payload"))).alias("parts"))
     whole = recipes.join(parts, "start").select("doc_id", "start", "n_tokens", "root", "width", "parts")
-    return whole.mapInArrow(partial(_documents, with_ids), "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
+    return whole.transform(arrow_map, partial(_documents, with_ids), "doc_id long, start long, n_tokens long, ids binary, ids_crc32 long")
