@@ -26,6 +26,7 @@ documents of their own; so do repeated rows. Null texts are empty. Texts of fewe
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Callable
 
 import numpy as np
@@ -36,11 +37,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import U64, Scratch, WordHash, batch, binary_rows, claim, constants, id_bitmap, in_bitmap, mix
+from .common import U64, Scratch, WordHash, arrow_map, batch, binary_rows, claim, constants, id_bitmap, in_bitmap, mix
 
+NEW = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 STEP = 8  # windows in a union of the third pass
 _BYTES = constants(256, 21)
-_plain = WordHash()
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -49,9 +50,9 @@ def byte_tokens(text: bytes) -> np.ndarray:
 
 
 def word_tokens(text: bytes) -> np.ndarray:
-    claim(_plain)
+    claim(_held)
     words = text.split()
-    return np.fromiter(map(_plain.__getitem__, words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(_held.words.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def _bytes_covered(text: bytes, cover: np.ndarray, unit: str) -> np.ndarray:
@@ -68,26 +69,35 @@ def _bytes_covered(text: bytes, cover: np.ndarray, unit: str) -> np.ndarray:
     return np.cumsum(mask)[:-1] > 0
 
 
-class _Powers:
-    """Powers of two odd multipliers and their inverses modulo 2**64, as far as a text has asked for."""
+class _Held:
+    """What a worker keeps from text to text: hashes of words, and powers of two odd multipliers and their inverses modulo 2**64."""
 
     def __init__(self):
+        self.words = WordHash()
         self.mult = [int(x) for x in constants(2, 22)]
-        self.size = 0
+        self.clear()
 
-    def upto(self, n: int) -> tuple:
-        if n > self.size:
-            self.size = max(n, 2 * self.size, 1 << 15)
-            self.of = []
-            for m in self.mult:
-                for f in (m, pow(m, -1, 1 << 64)):
-                    p = np.full(self.size, f, dtype=np.uint64)
-                    p[0] = 1
-                    self.of.append(np.multiply.accumulate(p))
-        return self.of
+    def clear(self) -> None:
+        self.words.clear()
+        self.size, self.of = 0, []
 
+    def powers(self, n: int) -> list[np.ndarray]:
+        """The first n powers of each, n at least; those for a very long text are not kept."""
+        if n <= self.size:
+            return self.of
+        size = max(n, 1 << 15)
+        of = []
+        for m in self.mult:
+            for f in (m, pow(m, -1, 1 << 64)):
+                p = np.full(size, f, dtype=np.uint64)
+                p[0] = 1
+                of.append(np.multiply.accumulate(p))
+        if size <= 1 << 20:
+            self.size, self.of = size, of
+        return of
 
-_powers = _Powers()
+
+_held = _Held()
 
 
 def _sliding(x: np.ndarray, width: int, f: Callable) -> np.ndarray:
@@ -106,7 +116,8 @@ class Suffixes:
         self.reach = max(1, depth // 3 // STEP * STEP)  # windows that hold a core of a given place
         self.core = depth - self.reach + 1
         self.m = self.n - depth + 1  # window starts
-        p1, i1, p2, i2 = _powers.upto(self.n + 1)
+        claim(_held)
+        p1, i1, p2, i2 = _held.powers(self.n + 1)
         self.inverse = i1, i2
         self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * p[: self.n], dtype=np.uint64)]) for p in (p1, p2)]
 
@@ -202,15 +213,15 @@ def _sorted_digits(digits: DataFrame, firsts: bool = False) -> DataFrame:
             if (out := found(held, no | held_before, no, ~no)) is not None:
                 yield out
 
-    return digits.repartition("route").sortWithinPartitions("probe", "h", "g").drop("route").mapInArrow(compare, _FOUND_SQL)
+    return digits.repartition("route").sortWithinPartitions("probe", "h", "g").drop("route").transform(arrow_map, compare, _FOUND_SQL)
 
 
 def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """docs' id, n_bytes, n_removed, n_spans, kept_sha256 and, if keep_text, all columns with the text that is left.
 
     Removes each token that a stretch of `depth` tokens covers which also starts anywhere else; unit is
-    bytes or words (with the white space between the words that are removed). Other columns whose names
-    this function uses itself are left out.
+    bytes or words (with the white space between the words that are removed). Columns of docs that have
+    the names of the new ones are replaced.
     """
     if unit not in ("bytes", "words"):
         raise ValueError(unit)
@@ -219,8 +230,8 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
     spark = docs.sparkSession
     scratch = Scratch(spark, "substrings")
     tokens = byte_tokens if unit == "bytes" else word_tokens
-    made = {id_col, text_col, "doc", "tag", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "__doc", "__tag", "s0", "s1", "s2"}
-    names = [f.name for f in docs.schema if f.name not in made] if keep_text else []
+    names = [f.name for f in docs.schema if f.name not in {id_col, text_col, *NEW}] if keep_text else []
+    inner = [f"__{i}" for i in range(len(names))]  # no clash with what is made on the way
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def first(batches):
@@ -236,7 +247,7 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
             if (out := _digits(rows)) is not None:
                 yield out
 
-    cores = scratch.keep(_sorted_digits(texts.mapInArrow(first, _DIGIT_SQL)), "cores")
+    cores = scratch.keep(_sorted_digits(texts.transform(arrow_map, first, _DIGIT_SQL)), "cores")
     live = spark.sparkContext.broadcast(id_bitmap(cores.select("doc").distinct()))
 
     def tagged(batches):
@@ -246,7 +257,7 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
                 b = b.filter(pa.array(ok))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_tag(t) for t in binary_rows(b.column(1))], pa.int32()), b.column(1)], names=["doc", "tag", "text"])
 
-    again = texts.mapInArrow(tagged, "doc long, tag int, text string")
+    again = texts.transform(arrow_map, tagged, "doc long, tag int, text string")
 
     def widened(places: DataFrame, step: Callable, name: str, firsts: bool) -> DataFrame:
         """The next pass, over the texts that have places in question."""
@@ -262,12 +273,16 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
 
         # equal rows of documents are occurrences of their own: the join keeps them apart
         met = again.join(state, ["doc", "tag"]).select("doc", "tag", "text", "places")
-        return scratch.keep(_sorted_digits(met.mapInArrow(run, _DIGIT_SQL), firsts), name)
+        return scratch.keep(_sorted_digits(met.transform(arrow_map, run, _DIGIT_SQL), firsts), name)
+
+    turn = itertools.count()
 
     def mixed(found: DataFrame) -> DataFrame:
         """One occurrence of each union, where what its windows share is in several unions."""
         ones = found.where("first")
-        return ones.join(ones.groupBy("shared").count().where("count > 1").select("shared"), "shared").select("doc", "tag", "pos")
+        # written, so that Spark may split a value that many unions share when it joins
+        several = scratch.keep(ones.groupBy("shared").count().where("count > 1").select("shared"), f"several{next(turn)}")
+        return ones.join(several, "shared", "left_semi").select("doc", "tag", "pos")
 
     def unions(s: Suffixes, places, _):
         a, b = s.union(places)
@@ -300,7 +315,8 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
     found = [x.where("repeated").select("doc", "tag", "pos", F.lit(w).alias("w")) for w, x in enumerate((whole, parts, single))]
     starts = found[0].unionByName(found[1]).unionByName(found[2])
     starts = starts.groupBy("doc", "tag").agg(*[F.collect_set(F.when(F.col("w") == w, F.col("pos"))).alias(f"s{w}") for w in range(3)])
-    schema = docs.select(id_col, *names).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
+    kept = docs.select(F.col(id_col), *[F.col(f"`{n}`").alias(i) for n, i in zip(names, inner, strict=True)])
+    schema = T.StructType([*kept.schema.fields]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
     schema = schema.add("kept", "string") if keep_text else schema
     arrow = to_arrow_schema(schema)
     n_names = 1 + len(names)
@@ -327,7 +343,7 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
             made[4] = [x.decode("utf-8", "replace") for x in made[4]]
         return batch(arrow, [*b.columns[:n_names], *made[: 5 if keep_text else 4]])
 
-    full = docs.select(id_col, *names, F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("__doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    full = docs.select(*[F.col(f"`{n}`").alias(i) for n, i in zip((id_col, *names), kept.columns, strict=True)], F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("__doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def untouched(batches):
         for b in batches:
@@ -347,6 +363,7 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
             cols = [b.column(b.schema.get_field_index(f"s{w}")) for w in range(3)]
             yield finish(b, lambda r: [np.array(c[r].as_py() or [], np.int64) for c in cols])  # noqa: B023
 
-    some = full.mapInArrow(pick, T.StructType([*full.schema, T.StructField("__tag", T.IntegerType())])).join(starts.withColumnRenamed("doc", "__doc").withColumnRenamed("tag", "__tag"), ["__doc", "__tag"], "left")
-    some = some.select(id_col, *names, "text", "s0", "s1", "s2").mapInArrow(touched, schema)
-    return full.mapInArrow(untouched, schema).unionByName(some)
+    some = full.transform(arrow_map, pick, T.StructType([*full.schema, T.StructField("__tag", T.IntegerType())])).join(starts.withColumnRenamed("doc", "__doc").withColumnRenamed("tag", "__tag"), ["__doc", "__tag"], "left")
+    some = some.select(id_col, *inner, "text", "s0", "s1", "s2").transform(arrow_map, touched, schema)
+    out = full.transform(arrow_map, untouched, schema).unionByName(some)
+    return out.withColumnsRenamed(dict(zip(inner, names, strict=True)))
