@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import (
     U64,
     Scratch,
+    arrow_map,
     batch,
     binary_rows,
     components,
@@ -49,6 +50,7 @@ from .common import (
 
 BITS = 20  # of the counters that tokens' frequencies are kept in
 BINS = 256  # of the histogram that bounds an intersection
+FULL = 65_535  # tokens that a bin counts up to
 UNIT = 40  # documents of UNIT * 4**c tokens and more are in size class c
 
 
@@ -104,11 +106,17 @@ def signatures(tokens: np.ndarray, counts: np.ndarray, frequent: int, num: int,
 
 def histogram(tokens: np.ndarray) -> bytes:
     h = np.bincount((tokens & U64(BINS - 1)).astype(np.int64), minlength=BINS)
-    return np.minimum(h, 65535).astype("<u2").tobytes()
+    return np.minimum(h, FULL).astype("<u2").tobytes()
+
+
+def most_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Upper bounds of the intersections of sets with these histograms; a bin that is full in both says nothing."""
+    least = np.minimum(a, b)
+    return np.where((least == FULL).any(1), np.iinfo(np.int32).max, least.sum(1, dtype=np.int64))
 
 
 def _linked(inter, n, m, num: int, den: int):
-    return (inter > 0) & (den * inter >= num * (n + m - inter))
+    return (inter > 0) & ((den + num) * inter >= num * (n + m))
 
 
 def _sizes_fit(a: str, b: str, num: int, den: int):
@@ -133,7 +141,7 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
         yield from (batch(counter, [[k], [v]]) for k, v in emit_counters(total))
 
     counter = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
-    counts = sum_counters(docs.select("text").mapInArrow(count, "block int, counts binary"), BITS)
+    counts = sum_counters(docs.select("text").transform(arrow_map, count, "block int, counts binary"), BITS)
     frequent = int(2 * counts.sum() / len(counts)) + 64
     shared = spark.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
 
@@ -150,7 +158,7 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
                 rows.append((i, len(s), *h, histogram(s) if len(s) else None, k.view(np.int64)))
             yield batch(made, [list(c) for c in zip(*rows, strict=True)])
 
-    signed = scratch.keep(docs.mapInArrow(sign, "doc_id long, n long, h1 long, h2 long, hist binary, keys array<long>"), "signed")
+    signed = scratch.keep(docs.transform(arrow_map, sign, "doc_id long, n long, h1 long, h2 long, hist binary, keys array<long>"), "signed")
     classes = signed.where("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
     classes = scratch.keep(classes, "classes")
     reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"], "left_semi")
@@ -159,6 +167,7 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
 
     # First round: everyone against the list's pivots.
     lists = postings.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("p"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("h"), "doc_id", "n")).alias("q")).where("m > 1")
+    lists = scratch.keep(lists, "lists")  # written, so that Spark may split a long list when it joins
     listed = scratch.keep(postings.join(lists.select("key", "m", "p", F.struct("q.doc_id", "q.n").alias("q")), "key"), "listed")
     pairs = listed.select("doc_id", "n", F.explode(F.array("p", "q")).alias("o"))
     pairs = pairs.where("doc_id <> o.doc_id").where(_sizes_fit("n", "o.n", num, den))
@@ -181,7 +190,7 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     return sizes.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), nodes
 
 
-def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: int = 2048, other: int = 16384) -> DataFrame:
+def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: int = 768, other: int = 1024) -> DataFrame:
     """Pairs (a, b) of different components on one list that the histograms don't rule out.
 
     Members outside the largest component are dealt out in cells of about `side`; all members meet
@@ -206,7 +215,7 @@ def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: i
             for s, e in zip(cuts, np.r_[cuts[1:], len(k)], strict=True):
                 here = tuple(k[s, :3])
                 if k[s, 3] == 0:
-                    part = (ids[s:e], n[s:e], comp[s:e], hist[s:e].astype(np.int32))
+                    part = (ids[s:e], n[s:e], comp[s:e], hist[s:e])
                     held = tuple(np.concatenate(x) for x in zip(held, part, strict=True)) if cell == here else part
                     cell = here
                     continue
@@ -216,14 +225,13 @@ def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: i
                     ok = (held[2] != comp[r]) & (held[0] != ids[r]) & (held[1] * num <= n[r] * den) & (n[r] * num <= held[1] * den)
                     w = np.flatnonzero(ok)
                     if len(w):
-                        most = np.minimum(held[3][w], hist[r].astype(np.int32)).sum(1)
-                        w = w[_linked(most, held[1][w], n[r], num, den)]
+                        w = w[_linked(most_common(held[3][w], hist[r]), held[1][w], n[r], num, den)]
                         found_a.append(np.minimum(held[0][w], ids[r]))
                         found_b.append(np.maximum(held[0][w], ids[r]))
             if found_a:
                 yield batch(out, [np.concatenate(found_a), np.concatenate(found_b)])
 
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.transform(arrow_map, compare, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -234,12 +242,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num:
     def bound(batches):
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u2").reshape(-1, BINS) for c in ("ha", "hb"))
-            ok = _linked(np.minimum(x, y).sum(1, dtype=np.int64), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb")), num, den)
+            ok = _linked(most_common(x, y), *(b.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb")), num, den)
             if ok.any():
                 yield batch(out, [b.column(c).filter(pa.array(ok)) for c in ("a", "b")])
 
     scratch = Scratch(pairs.sparkSession, "ngram-pairs")
-    left = scratch.keep(pairs.join(one, "a").join(two, "b").mapInArrow(bound, "a long, b long").distinct(), "left")
+    left = scratch.keep(pairs.join(one, "a").join(two, "b").transform(arrow_map, bound, "a long, b long").distinct(), "left")
     bitmap = id_bitmap(left.select("a").union(left.select("b")))
     texts = only_ids(docs, bitmap)
 
@@ -258,7 +266,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num:
                 yield batch(out, [b.column(c).filter(pa.array(keep)) for c in (0, 1)])
 
     met = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    return met.select("a", "b", "ta", "tb").mapInArrow(verify, "a long, b long").distinct()
+    return met.select("a", "b", "ta", "tb").transform(arrow_map, verify, "a long, b long").distinct()
 
 
 def ngram_jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
