@@ -10,7 +10,8 @@ The expected grade and the tail probability P(grade >= wanted) come from the sam
 The model is fitted on the driver on a sample of labelled rows that `sample` bounds (the rows whose
 ids hash lowest, so that reruns agree); all documents are scored. With no labelled row that has a
 document the probabilities are null and everything is kept. Null texts are scored as empty ones.
-Rows with a null label or id are not fitted on; of several labels of an id the lowest grade counts.
+Rows with a null label or id are not fitted on; of several labels of an id the lowest grade counts, and of
+several documents of an id one, by a hash of its text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, binary_rows, claim, prepare
+from .common import arrow_map, batch, binary_rows, claim, prepare
 
 WORD_BITS, SHAPE_BITS, DENSE = 18, 12, 4
 SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS) + DENSE
@@ -127,15 +128,16 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: i
     rated = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    met = texts.join(F.broadcast(chosen), "doc_id").select("grade", "text")  # at most `sample` ids
-    out = pa.schema([("grade", pa.int32()), ("slots", pa.binary()), ("values", pa.binary())])
+    met = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("h"), "grade", "text")  # at most `sample` ids
+    out = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("grade", pa.int32()), ("slots", pa.binary()), ("values", pa.binary())])
 
     def run(batches):
         for b in batches:
-            found = [features(t) for t in binary_rows(b.column(1))]
-            yield batch(out, [b.column(0), [s.astype("<i4").tobytes() for s, _ in found], [v.astype("<f4").tobytes() for _, v in found]])
+            found = [features(t) for t in binary_rows(b.column(3))]
+            yield batch(out, [*b.columns[:3], [s.astype("<i4").tobytes() for s, _ in found], [v.astype("<f4").tobytes() for _, v in found]])
 
-    rows = met.mapInArrow(run, "grade int, slots binary, values binary").limit(2 * sample).toArrow()
+    made = met.transform(arrow_map, run, "doc_id long, h long, grade int, slots binary, values binary")
+    rows = made.groupBy("doc_id").agg(F.min(F.struct("h", "grade", "slots", "values")).alias("x")).select("doc_id", "x.grade", "x.slots", "x.values").toArrow().sort_by("doc_id")  # a row per id
     if not rows.num_rows:
         return None
     slots = [np.frombuffer(s, "<i4") for s in rows.column("slots").to_pylist()]
@@ -167,7 +169,7 @@ def graded(docs: DataFrame, model: OrdinalModel | None, wanted: int, at_least: f
             p = tails[:, wanted - 1]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tails.sum(1)), pa.array(p), pa.array(p >= at_least)], names=[*names, "expected_grade", "p_tail", "keep"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(arrow_map, run, schema)
 
 
 def safe_grade() -> Column:
