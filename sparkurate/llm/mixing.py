@@ -42,14 +42,14 @@ def words(text: Column) -> Column:
     return F.when(squeezed == "", F.lit(0)).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "))) + 1).cast("long")
 
 
-def mix_sources(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, text_key) of each row; text_key tells rows that repeat an id apart."""
+def mix_sources(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, text_key) of each row, and the columns of docs to carry; text_key tells rows that repeat an id apart."""
     scratch = Scratch(docs.sparkSession, "mixing")
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(text).alias("size"), F.xxhash64(text).alias("text_key"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(text).alias("size"), F.xxhash64(text).alias("text_key"), *carry)
     rows = scratch.keep(rows, "rows")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    names = totals.collect()  # one row per source
+    names = totals.collect()  # one row per source: sources are kinds of documents, some thousands at most
     of = {r.source: r.source_size for r in names}
     order = sorted((s for s in of if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in of else [])
     target = targets({s: of[s] for s in order}, list(weights), share, most)
@@ -62,4 +62,4 @@ def mix_sources(docs: DataFrame, weights: list[float] = (3, 1, 2), share: float
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "text_key")
+    return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"), "text_key", *carry)
