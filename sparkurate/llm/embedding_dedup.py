@@ -5,8 +5,9 @@ axes of a bounded sample (any rotation gives the same cosines; this one puts mos
 the leading coordinates), sorted along the first axis and cut into blocks. Two blocks form a tile.
 Groups of blocks too far apart along the first axis for any pair to reach the threshold never meet. In
 a tile the products of the leading coordinates come first; what the others can add is at most the
-product of the two suffix norms. The comparison stops for pairs whose bound is below the threshold,
-and the few that are left are computed in double precision from the vectors as they are.
+product of the two suffix norms. Pairs whose bound reaches the threshold go on with the next
+coordinates, a step at a time, and stop as soon as what is accumulated and the bound of the rest
+can't reach it. The few that are left are computed in double precision from the vectors as they are.
 
 A tile gives counts and a spanning forest of its links, so what it gives is bounded by its rows; links
 are not listed. All pairs of blocks that the bounds leave are compared, so no link is lost. The work of
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch, components
+from .common import Scratch, arrow_map, batch, components
 
 BLOCK, SIDE = 1024, 8  # vectors in a block, blocks in a side of a task
 SLACK = 1e-4  # of products in single precision
@@ -41,11 +42,21 @@ def axes(sample: np.ndarray) -> np.ndarray:
 
 def tile_links(a: dict, b: dict, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Indices of linked pairs of two blocks; below the diagonal only if they are the same."""
-    bound = a["lead"] @ b["lead"].T  # leading products, and the product of suffix norms as the last coordinate
+    lead = a["turned"].shape[1] // a["rest"].shape[1]  # coordinates of a step
+    first = lambda v: np.concatenate([v["turned"][:, :lead], v["rest"][:, :1]], 1)  # noqa: E731  the product of suffix norms is the last coordinate's
+    bound = first(a) @ first(b).T
     x, y = np.nonzero(bound >= threshold - SLACK)
     if same:
         on = x > y
         x, y = x[on], y[on]
+    so_far = bound[x, y] - a["rest"][x, 0] * b["rest"][y, 0]
+    for k in range(1, a["rest"].shape[1]):
+        if not len(x):
+            return x, y
+        part = slice(k * lead, (k + 1) * lead)
+        so_far += np.einsum("ij,ij->i", a["turned"][x, part], b["turned"][y, part])
+        on = so_far + a["rest"][x, k] * b["rest"][y, k] >= threshold - SLACK
+        x, y, so_far = x[on], y[on], so_far[on]
     if not len(x):
         return x, y
     keep = []
@@ -85,7 +96,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
 
     def links_of(dim: int) -> DataFrame:
         """Links of the vectors of one dimension."""
-        lead, here = min(leading, dim), sound & (F.size("v") == dim)
+        lead = min(leading, dim)
+        steps = -(-dim // lead)
+        here = sound & (F.size("v") == dim)
         reps = rows.where(here).withColumns({"h": F.xxhash64("v"), "g": F.xxhash64(F.lit(5), "v")}).join(classes.where(F.col("d") == dim).drop("d"), ["h", "g"]).where("vec_id = rep").dropDuplicates(["h", "g"]).select("vec_id", "m", "v")
 
         taken = rows.where(here).select("v").orderBy(F.xxhash64("v")).limit(sample).toArrow()
@@ -94,7 +107,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         basis = axes(flat / np.sqrt((flat * flat).sum(1, keepdims=True)))
         shared = spark.sparkContext.broadcast(basis)
 
-        turned = pa.schema([("vec_id", pa.int64()), ("m", pa.int64()), ("first", pa.float64()), ("full", pa.binary()), ("lead", pa.binary()), ("norm", pa.float64())])
+        turned = pa.schema([("vec_id", pa.int64()), ("m", pa.int64()), ("first", pa.float64()), ("full", pa.binary()), ("turned", pa.binary()), ("rest", pa.binary()), ("norm", pa.float64())])
 
         def turn(batches):
             for b in batches:
@@ -105,17 +118,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
                 full = full / top[:, None]  # no overflow, and the cosine is the same
                 norm = np.sqrt((full * full).sum(1))
                 r = full @ shared.value / norm[:, None]
-                head = r[:, :lead]
-                rest = np.sqrt(np.maximum(0, 1 - (head * head).sum(1)))
-                both = np.concatenate([head, rest[:, None]], 1).astype(np.float32)
-                yield batch(turned, [b.column(0), b.column(1), r[:, 0], [x.tobytes() for x in full], [x.tobytes() for x in both], norm])
+                r = np.concatenate([r, np.zeros((len(r), steps * lead - dim))], 1)
+                squares = np.cumsum((r * r).reshape(len(r), steps, lead).sum(2), axis=1)
+                rest = np.sqrt(np.maximum(0, 1 - squares))  # norms of what follows each step
+                yield batch(turned, [b.column(0), b.column(1), r[:, 0], [x.tobytes() for x in full], [x.tobytes() for x in r.astype(np.float32)], [x.tobytes() for x in rest.astype(np.float32)], norm])
 
-        turned_sql = "vec_id long, m long, first double, full binary, lead binary, norm double"
+        turned_sql = "vec_id long, m long, first double, full binary, turned binary, rest binary, norm double"
         n = classes.where(F.col("d") == dim).count()
-        placed = reps.mapInArrow(turn, turned_sql)
+        placed = reps.transform(arrow_map, turn, turned_sql)
         parts = max(1, -(-n // (BLOCK * SIDE)))
         placed = placed.repartitionByRange(parts, "first", "vec_id").sortWithinPartitions("first", "vec_id")
-        block = pa.schema([("side", pa.int64()), ("block", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()), ("m", pa.binary()), ("full", pa.binary()), ("lead", pa.binary()), ("norm", pa.binary())])
+        block = pa.schema([("side", pa.int64()), ("block", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()), ("m", pa.binary()), ("full", pa.binary()), ("turned", pa.binary()), ("rest", pa.binary()), ("norm", pa.binary())])
 
         def cut(batches):
             from pyspark import TaskContext
@@ -125,8 +138,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
             def made(x, k):
                 first = x.column("first").to_numpy()
                 raw = [x.column(c).to_numpy().tobytes() for c in ("vec_id", "m", "norm")]
-                bulk = [b"".join(x.column(c).to_pylist()) for c in ("full", "lead")]
-                return batch(block, [[k // SIDE], [k], [float(first.min())], [float(first.max())], [raw[0]], [raw[1]], [bulk[0]], [bulk[1]], [raw[2]]])
+                bulk = [b"".join(x.column(c).to_pylist()) for c in ("full", "turned", "rest")]
+                return batch(block, [[k // SIDE], [k], [float(first.min())], [float(first.max())], [raw[0]], [raw[1]], *([x] for x in bulk), [raw[2]]])
 
             for b in batches:
                 held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
@@ -136,7 +149,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
             if held is not None and held.num_rows:
                 yield made(held, k)
 
-        blocks = scratch.keep(placed.mapInArrow(cut, "side long, block long, low double, high double, ids binary, m binary, full binary, lead binary, norm binary"), f"blocks{dim}")
+        blocks = scratch.keep(placed.transform(arrow_map, cut, "side long, block long, low double, high double, ids binary, m binary, full binary, turned binary, rest binary, norm binary"), f"blocks{dim}")
 
         # Which sides of blocks meet: those within reach of each other along the first axis.
         reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
@@ -150,7 +163,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
         def compare(key, pdf):
             ga, gb = key
             got = [
-                (r.side, r.block, {"ids": np.frombuffer(r.ids, np.int64), "m": np.frombuffer(r.m, np.int64), "norm": np.frombuffer(r.norm, np.float64), "full": np.frombuffer(r.full, np.float64).reshape(-1, dim), "lead": np.frombuffer(r.lead, np.float32).reshape(-1, lead + 1)})
+                (r.side, r.block, {"ids": np.frombuffer(r.ids, np.int64), "m": np.frombuffer(r.m, np.int64), "norm": np.frombuffer(r.norm, np.float64), "full": np.frombuffer(r.full, np.float64).reshape(-1, dim), "turned": np.frombuffer(r.turned, np.float32).reshape(-1, steps * lead), "rest": np.frombuffer(r.rest, np.float32).reshape(-1, steps)})
                 for r in pdf.itertuples()
             ]
             out = []
