@@ -19,14 +19,19 @@ import html
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import prepare
+from .common import arrow_map, prepare
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|iframe|svg)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
-_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A quote belongs to a value only behind "=". Nothing is tried twice: repeats are possessive, so a tag is read in one go.
+_VALUE = r"\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s>\"'][^\s>]*+))?+"
+_ATTRIBUTE = re.compile(rf"([^\s/>=][^\s/>=]*+)(?:{_VALUE})?+")
+_TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[^\s/>=][^\s/>=]*+(?:{_VALUE})?+|[\s/=])*+)(?P<closed>>?)")
+RAW = frozenset("script style noscript template textarea title iframe svg".split())  # what they hold is no page text
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW}
 _EMPTY = re.compile(r"(?:^|[\s\"'])/$")  # a slash that ends the tag, not the value before it
 _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 
@@ -51,10 +56,11 @@ _SHOWN = re.compile(r":(?:block|flex|grid|inline|table|contents)")
 
 
 class _Node:
-    __slots__ = ("tag", "aside", "kind", "note", "own", "block", "prose")
+    __slots__ = ("tag", "aside", "kind", "note", "own", "block", "prose", "barred")
 
-    def __init__(self, tag: str, aside: bool, kind: str, note: str = "", own: bool = False, block: _Node | None = None):
+    def __init__(self, tag: str, aside: bool, kind: str, note: str = "", own: bool = False, block: _Node | None = None, barred: bool = False):
         self.tag, self.aside, self.kind, self.note, self.own = tag, aside, kind, note, own
+        self.barred = barred or note == "hidden" or tag in ASIDE  # no wrapper with a mistaken name, but left out for what it is
         self.block = block or self  # the block that text here stands in; a paragraph's and a title's is the one around it
         self.prose = 0  # words of its text and paragraphs, without links
 
@@ -68,6 +74,7 @@ PARTS = frozenset("article body div html main section".split())
 #: Blocks whose links stand in a text.
 FLOW = frozenset("p blockquote pre dd figcaption h1 h2".split())
 HEADS = ("h2", "heading", "h2 link")  # kinds of text that heads what follows, so nothing ends with it
+HOLDING = frozenset(["article", "main", "body", "table"])
 PROSE = 10  # words that make what stands beside them an article's
 
 
@@ -99,10 +106,38 @@ def _is_note(tag: str, attributes: str) -> str:
     return "" if not notes else "header" if all("header" in n for n in notes) else "note"
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of each tag, and of comments and elements that hold no page text (name "" and "raw").
+
+    As browsers read them: "<" begins a tag before a letter only, and else is text; what the page's end cuts off is no text.
+    """
+    at = 0
+    while (at := page.find("<", at)) >= 0:
+        start, following = at, page[at + 1 : at + 2]
+        m = _TAG.match(page, at)
+        if m:
+            at, name = m.end(), m[2].lower()
+            if name in RAW and not m[1]:
+                close = _RAW_END[name].search(page, at)
+                at = close.end() if close and m["closed"] else len(page)
+                yield start, at, "", "raw", ""
+            else:
+                yield start, at, m[1], name, m[3]
+        elif following in ("!", "?", "/") and following and at + 2 < len(page):
+            mark = "-->" if page.startswith("<!--", at) else ">"
+            end = page.find(mark, at + 2)
+            at = end + len(mark) if end >= 0 else len(page)
+            yield start, at, "", "", ""
+        else:
+            at += 1
+
+
 def scan(page: str) -> list[tuple[str, str, bool, bool, int]]:
     """Tokens (kind, text, whether a block begins, whether left out, words): tags have kind <tag> and no text."""
     out: list[tuple[str, str, bool, bool, int]] = []
     stack = [_Node("", False, "body")]
+    opened: Counter[str] = Counter()  # elements on the stack, by tag
+    scopes: list[Counter[str]] = [Counter()]  # and since each of HOLDING that is open
     at, broken, begun = 0, True, False
     whole = "article" if re.search(r"<article[\s>]", page, re.I) else "main"  # the element that is the article's, if there is one
 
@@ -118,13 +153,26 @@ def scan(page: str) -> list[tuple[str, str, bool, bool, int]]:
             out.append(("short div" if top.kind == "div" and n < PROSE else top.kind, words, broken, top.aside, n))
             broken = False
 
+    def push(node: _Node) -> None:
+        stack.append(node)
+        opened[node.tag] += 1
+        if node.tag in HOLDING:
+            scopes.append(Counter())
+        scopes[-1][node.tag] += 1
+
+    def pop() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        scopes[-1][tag] -= 1
+        if tag in HOLDING:
+            scopes.pop()
+        return tag
+
     def close(tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == tag:
-                del stack[i:]
-                return
-            if tag != stack[i].tag and stack[i].tag in ("article", "main", "body", "table") and tag not in ("body", "html", "article", "main"):
-                return
+        """An end tag ends what is open in it, but not beyond an article, main part, body or table, if it isn't one's own."""
+        if (opened if tag in ("body", "html", "article", "main") else scopes[-1])[tag]:
+            while pop() != tag:
+                pass
 
     def sort(tag: str, up: _Node) -> str:
         return f"own {tag}" if own_in(tag, up) else f"flow {tag}" if tag == "a" and flows(up) else tag
@@ -136,29 +184,26 @@ def scan(page: str) -> list[tuple[str, str, bool, bool, int]]:
         """Links in lists before any title or text are those of a menu."""
         return up.holds(tag) and (begun or tag != "a" or up.block.tag != "li")
 
-    for m in _TOKEN.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        tag = (m[3] or "").lower()
-        if m[1]:
+    for start, end, slash, tag, attributes in tags(page):
+        text(page[at:start])
+        at = end
+        if tag == "raw":
             out.append(("<raw>", "", False, True, 0))
             continue
         if not tag:
             continue
-        if m[2]:
+        if slash:
             close(tag)
             up = stack[-1]
             out.append((f"</{sort(tag, up)}>", "", False, up.aside, 0))
         else:
-            if tag in BLOCK and stack[-1].tag == "p":
-                stack.pop()
-            elif tag in ("li", "dt", "dd", "tr", "option") and stack[-1].tag == tag:
-                stack.pop()
+            if tag in BLOCK and stack[-1].tag == "p" or tag in ("li", "dt", "dd", "tr", "option") and stack[-1].tag == tag:
+                pop()
             up = stack[-1]
-            note = _is_note(tag, m[4])
-            in_title = (up.tag == "header" or up.note == "header") and tag in HEADING and any(n.tag in ("article", "main") for n in stack)
+            note = _is_note(tag, attributes)
+            in_title = (up.tag == "header" or up.note == "header") and tag in HEADING and bool(opened["article"] or opened["main"])
             # the page's main part is that within a wrapper which is named as a note, too
-            inherited = up.aside and not in_title and not (tag == "main" and all(n.note != "hidden" and n.tag not in ASIDE for n in stack))
+            inherited = up.aside and not in_title and not (tag == "main" and not up.barred)
             aside = inherited or tag in ASIDE or note != ""
             own = tag == whole or own_in(tag, up)
             base = up.kind.removeprefix("own ")
@@ -169,8 +214,8 @@ def scan(page: str) -> list[tuple[str, str, bool, bool, int]]:
                 kind = base
             kind = "aside" if aside else f"own {kind}" if own else kind
             sorted_tag = "aside" if aside else sort(tag, up)
-            if tag not in VOID and not _EMPTY.search(m[4]):
-                stack.append(_Node(tag, aside, kind, note, own, None if tag in BLOCK and tag not in ("p", "h1") else up.block))
+            if tag not in VOID and not _EMPTY.search(attributes[-2:]):
+                push(_Node(tag, aside, kind, note, own, None if tag in BLOCK and tag not in ("p", "h1") else up.block, up.barred))
             out.append((f"<{sorted_tag}>", "", False, aside, 0))
         if tag in BLOCK:
             broken = True
@@ -291,4 +336,4 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             texts = [main_text(h) for h in b.column(len(names)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*names, "text", "n_chars"])
 
-    return pages.select(*[f"`{n}`" for n in names], f"`{html_col}`").mapInArrow(run, schema)
+    return pages.select(*[f"`{n}`" for n in names], f"`{html_col}`").transform(arrow_map, run, schema)
