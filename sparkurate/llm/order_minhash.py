@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, batch, binary_rows, mix, parallelism, prepare
+from .common import U64, arrow_map, batch, binary_rows, mix, parallelism, prepare
 
 K = 8
 
@@ -133,7 +133,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", sketches: int = 64, tu
             made = [sketch(t or b"", sketches, tuple_size).astype(">u4").tobytes().hex() for t in binary_rows(b.column(at))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], names=[*b.schema.names, "fingerprint"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(arrow_map, run, schema)
 
 
 def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketches: int = 64, tuple_size: int = 2) -> DataFrame:
@@ -162,4 +162,4 @@ def edit_comparison(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if held is not None:
             raise ValueError(f"document {held[0]} has no following one")
 
-    return in_id_order(docs, id_col, text_col).mapInArrow(run, _OUT_SQL)
+    return in_id_order(docs, id_col, text_col).transform(arrow_map, run, _OUT_SQL)
