@@ -61,7 +61,7 @@ def test_archives(spark, tmp_path):
     warc.write_archives(spark.createDataFrame([(*p, "z") for p in PAGES], "page_id long, url string, html string, digest string").repartition(3), path)
     got = warc.read_archives(spark, path).collect()
     by = defaultdict(list)
-    for i, _, h in set(PAGES):
+    for i, _, h in PAGES:
         by[h or ""].append(i)
     want = Counter()
     for h, ids in by.items():
@@ -77,13 +77,13 @@ def test_archives(spark, tmp_path):
 def test_segments_that_are_missing_are_noticed():
     made = warc.records(1, "u", b"a" * 100_000, hashlib.sha1(b"a" * 100_000).hexdigest(), None, None)
     assert len(made) == 4
-    found = list(warc.parse(b"\r\n\r\n".join([*made, b""])))
+    found = list(warc.parse([b"\r\n\r\n".join([*made, b""])]))
     assert [h.get("warc-segment-number") for h, _ in found] == ["1", "2", "3", "4"] and found[0][0]["warc-type"] == "response" and found[3][0]["warc-segment-total-length"] == str(sum(len(b) for _, b in found))
     assert warc.payload_of(b"".join(b for _, b in found)) == b"a" * 100_000
     with pytest.raises(ValueError):
         warc.payload_of(b"".join(b for _, b in found[:3]))
     with pytest.raises(ValueError):
-        list(warc.parse(made[0][:-5]))
+        list(warc.parse([made[0][:-5]]))
 
 
 def test_main_text_cases():
@@ -203,3 +203,55 @@ def test_pipeline_stages(spark, tmp_path):
     assert Counter(x.doc_id for x in packed if x.piece == 0) == Counter(x.doc_id for x in mixed)
     out = corpus_pipeline.run(spark, d)
     assert Counter(tuple(x) for x in out.select("doc_id", "piece", "length", "ids_crc32").collect()) == Counter((x.doc_id, x.piece, x.length, x.ids_crc32) for x in packed)
+
+
+def test_pipeline_of_nothing_and_of_equal_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/a/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/a/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/a").count() == 0
+    rows = [(None, "one two three four", "en", "s", 18)] * 2 + [(7, prose(i, 40), "en", "s", 1) for i in range(3)]
+    docs = spark.createDataFrame(rows, schema)
+    mixed = corpus_pipeline.mixed(spark, docs, str(tmp_path)).collect()
+    assert abs(sum(len(r.text.split()) for r in mixed) - 1.5 * 128) <= 1
+    assert sum(r.doc_id is None for r in mixed) <= 4
+    one = corpus_pipeline.one_of_each(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id is None, r.text) for r in one) == sorted([(True, rows[0][1]), *((False, r[1]) for r in rows[2:])])
+
+
+def test_archives_of_one_member_for_each_record(spark, tmp_path):
+    """As most archives are made, with records of other kinds, and responses without a digest or chunks."""
+    import gzip
+
+    plain = "\r\n".join(["WARC/1.0", "WARC-Type: response", "WARC-Record-ID: <urn:uuid:1>", "WARC-Target-URI: http://x/", "Content-Length: 24", "", ""]).encode() + b"HTTP/1.1 200 OK\r\n\r\nhello"
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:0>\r\nContent-Length: 3\r\n\r\nabc"
+    body = ("z" * 90_000).encode()
+    made = warc.records(5, "http://y/", body, hashlib.sha1(body).hexdigest(), None, None)
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc.gz").write_bytes(b"".join(gzip.compress(r + b"\r\n\r\n") for r in [info, plain, *made]))
+    got = {r.url: r for r in warc.read_archives(spark, f"file://{tmp_path}/w").collect()}
+    assert bytes(got["http://x/"].payload) == b"hello" and got["http://x/"].payload_digest == hashlib.sha1(b"hello").hexdigest()
+    assert bytes(got["http://y/"].payload) == body and len(got) == 2
+    for size in (1, 7, 1 << 20):
+        assert len(list(warc.parse(warc.inflated((tmp_path / "w" / "a.warc.gz").read_bytes(), size)))) == 2 + len(made)
+    with pytest.raises(ValueError):
+        list(warc.inflated((tmp_path / "w" / "a.warc.gz").read_bytes()[:-9]))
+
+
+def test_tags_as_browsers_read_them():
+    t = html_text.main_text
+    assert t("<article><p>If a < b and c <5 then stop.</p><p title=it's>The second one.</p><p>The last one.</p></article>") == "If a < b and c <5 then stop.\n\nThe second one.\n\nThe last one."
+    assert t("<article><p class='share-price'>The price rose by two.</p><p data-x=\"a>b\">It fell later.</p></article>") == "The price rose by two.\n\nIt fell later."
+    for body in ("<body class='header-fixed nav-open'>", "<body><div class='page with-sidebar'>", "<body><main class='overflow-hidden'>"):
+        assert t(f"{body}<h1>Tides</h1><p>The moon pulls the sea, and the sea follows twice each day.</p>") == "Tides\n\nThe moon pulls the sea, and the sea follows twice each day."
+    assert t("<article><!-- a <p>no</p> --><p>Yes, this one.</p><!x><?y><p>And this.</p></article></>") == "Yes, this one.\n\nAnd this."
+    assert t("<article><table><tr><td>One cell</p></td></tr></table><p>Behind the table.</p></article>") == "One cell\n\nBehind the table."
+
+
+@pytest.mark.parametrize("page", ["<a " * 120_000 + "'", "<div>" * 30_000 + "</p>" * 30_000, "<p><table>" + "<div>" * 30_000 + "</p>" * 40_000, "<!--" * 90_000, "<script>" * 40_000, "<a b='" * 60_000, "</" * 100_000, "<header>" * 15_000 + "<h1>x</h1>" * 15_000, "<nav>" * 20_000 + "<main></main>" * 12_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 2

@@ -323,3 +323,104 @@ def test_word_ids_equal_whole_texts():
 
     check()
     assert ids.document(LONG.encode()) == ids.encode(LONG.encode())
+
+
+def test_full_bins_lose_no_link():
+    """A bin of more tokens than it counts says nothing about how many two sets share."""
+    many = np.arange(ngram_join.FULL + 5_000, dtype=np.uint64) * np.uint64(ngram_join.BINS)
+    h = np.frombuffer(ngram_join.histogram(many), "<u2")[None, :]
+    assert ngram_join.most_common(h, h)[0] >= len(many)
+    few = np.frombuffer(ngram_join.histogram(many[:100]), "<u2")[None, :]
+    assert ngram_join.most_common(h, few)[0] == 100
+
+
+def test_substring_dedup_keeps_columns_with_clashing_names(odd):
+    got = substring_dedup.removed_spans(odd.withColumn("n_bytes", F.lit("old")), 60, keep_text=True)
+    assert got.columns == ["doc_id", "source", "n_chars", *[c for c in odd.columns[4:]], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    assert all(r.tag == r.doc == r.s0 == "x" and r.n_bytes == len((r.kept or "").encode()) + r.n_removed for r in got.collect())
+
+
+def test_ordinal_model_equals_a_plain_fit():
+    """Probabilities of the fit against gradient descent with numeric derivatives on a few dense rows."""
+    r = np.random.default_rng(8)
+    n, k, first = 60, 3, quality.SIZE - quality.DENSE
+    x = r.normal(size=(n, quality.DENSE))
+    grades = np.clip((x[:, 0] * 1.5 + r.normal(size=n) > -0.5).astype(int) + (x[:, 1] + r.normal(size=n) > 0.7), 0, 2)
+    slots, rows = np.tile(np.arange(quality.DENSE) + first, n), np.repeat(np.arange(n), quality.DENSE)
+    model = quality.fit(slots, x.ravel(), rows, grades, k, steps=3000, rate=0.05, ridge=0.01)
+
+    def loss(p):
+        cut = np.array([-np.inf, p[0], p[0] + np.exp(p[1]), np.inf])
+        s = x @ p[2:]
+        below = 1 / (1 + np.exp(s[:, None] - cut[None, :]))
+        return -np.log(below[np.arange(n), grades + 1] - below[np.arange(n), grades]).mean() + 0.01 * (p[2:] ** 2).sum() / 2
+
+    p = np.zeros(2 + quality.DENSE)
+    for _ in range(4000):
+        p -= 0.3 * np.array([(loss(p + e) - loss(p - e)) / 2e-5 for e in np.eye(len(p)) * 1e-5])
+    plain = 1 - 1 / (1 + np.exp((x @ p[2:])[:, None] - np.array([p[0], p[0] + np.exp(p[1])])[None, :]))
+    assert np.abs(model.tails(x @ model.weights[first:]) - plain).max() < 0.01
+
+
+def test_quality_fits_one_document_of_an_id(spark):
+    docs = spark.createDataFrame([(i % 40, prose(i, 30) + (" vileword" if i % 40 % 2 else "")) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    one, two = (quality.fit_on_labels(d, labels, quality.safe_grade(), 3, sample=30) for d in (docs, docs.repartition(5)))
+    assert (one.weights == two.weights).all() and (one.thresholds == two.thresholds).all()
+    assert quality.graded(docs.where("false"), one, 2).count() == 0
+
+
+def test_sketch_by_definition():
+    """Of each bin the least numbered k-mers, in text order, in plain Python."""
+    import xxhash
+
+    from sparkurate.llm.common import mix
+
+    one = lambda x: int(mix(np.array([x % 2**64], np.uint64))[0])
+
+    def plain(text, sketches=64, size=2):
+        k = order_minhash.K
+        parts = [int.from_bytes(text[i : i + k], "little") + 1 for i in range(len(text) - k + 1)]
+        kmers = [one(p) for p in parts] or [xxhash.xxh3_64_intdigest(text)]
+        seen, marks = Counter(), []
+        for x in kmers:
+            marks.append(one(x + seen[x] * 0x9E3779B97F4A7C15))
+            seen[x] += 1
+        order = sorted(range(len(marks)), key=marks.__getitem__)
+        out = []
+        for b in range(sketches):
+            start = next((j for j, i in enumerate(order) if marks[i] >> 58 >= b), len(order))
+            chosen = sorted(order[(start + j) % len(order)] for j in range(min(size, len(order))))
+            h = min(size, len(order))
+            for i in chosen:
+                h = one(h * 0x9E3779B97F4A7C15 + kmers[i])
+            out.append(h >> 32)
+        return out
+
+    for text in (b"", b"abc", b"abcdefgh", b"ab" * 40, prose(3, 40).encode(), prose(4, 2000).encode()):
+        assert order_minhash.sketch(text).tolist() == plain(text), text[:20]
+
+
+def test_mixing_targets_by_hand(odd):
+    """Targets of the sources a, b, c and null at weights 3, 1, 2 and 3, by sharing out what is above twice a source's size."""
+    size = Counter()
+    for _, t, s in odd_rows():
+        size[s] += len(WORD.findall(t or ""))
+    weight, left, target = dict(zip(["a", "b", "c", None], [3, 1, 2, 3], strict=True)), 1.5 * sum(size.values()), {}
+    while weight:
+        share = {s: left * w / sum(weight.values()) for s, w in weight.items()}
+        over = [s for s in share if share[s] > 2 * size[s]]
+        for s in over or list(share):
+            target[s] = 2.0 * size[s] if over else share[s]
+            left -= target[s] if over else 0
+            del weight[s]
+    got = {r.source: r.target for r in mixing.mix_sources(odd, [3, 1, 2], 1.5, 2.0).select("source", "target").distinct().collect()}
+    assert got.keys() == target.keys() and all(abs(got[s] - target[s]) < 1e-6 for s in got)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    conf = SimpleNamespace(get=lambda k, d=None: None if k == "spark.checkpoint.dir" else "1m", set=lambda k, v: None)
+    with pytest.raises(ValueError):
+        Scratch(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(environment={}, master="spark://host:7077")), "t")
