@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet and reads
 again as the next stage's docs. All but the last return the columns of documents. Null texts go
-through as empty ones, rows with null ids are never near duplicates, and empty tables stay empty.
+through as empty ones, rows with null or repeated ids are documents of their own, and empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from sparkurate.llm import mixing, ngram_join, packing, quality, substring_dedup
 from sparkurate.llm.common import Scratch, table
 from sparkurate.llm.queries import tokenizer_path
 
-REST = "_row"
+REST, ROW = "_rest", "_row"
 
 
 def _with_rest(docs: DataFrame) -> DataFrame:
@@ -34,17 +34,21 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _columns(quality.graded(_with_rest(docs), model, wanted=2).where("keep"), docs)
 
 
+def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """_with_rest's columns and a number for each row, written so that it stays: ids may be null or repeated."""
+    return scratch.keep(_with_rest(docs).withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, a similarity of 0.8) the document with the smallest id; of rows with one id, one."""
-    groups = ngram_join.ngram_jaccard_components(docs, n=5, num=80, den=100)
+    """Of each group of near duplicates (five words, a similarity of 0.8) the row with the smallest id; a null id is the largest."""
     scratch = Scratch(spark, "near")
-    gone = scratch.keep(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = scratch.keep(repeated, "repeated")
-    if not repeated.take(1):
-        return left
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    rows = _numbered(docs, scratch)
+    groups = ngram_join.ngram_jaccard_components(rows, n=5, num=80, den=100, id_col=ROW)
+    groups = scratch.keep(groups.select(F.col("doc_id").alias(ROW), "component_id"), "groups")
+    ids = rows.select(ROW, "doc_id").join(groups, ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
+    stay = ids.groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
+    return _columns(rows.join(stay, ROW, "left_semi"), docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +62,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document is there as often as it is taken; the one at a source's cut gives its first words.
     """
-    taken = mixing.mix_sources(docs, weights=[3, 1, 2], share=1.5, most=2.0).where("taken > 0").select("doc_id", "text_key", "size", "taken").distinct()
-    rows = _with_rest(docs).withColumn("text_key", F.xxhash64("text"))
-    rows = rows.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_key", "_key").join(taken, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key")))
+    rows = _numbered(docs, Scratch(spark, "mixed"))
+    sized = rows.select("doc_id", "text", F.col(f"{REST}.source").alias("source"), ROW)
+    taken = mixing.mix_sources(sized, weights=[3, 1, 2], share=1.5, most=2.0, carry=[ROW]).where("taken > 0").select(ROW, "size", "taken")
+    rows = rows.join(taken, ROW)
     full, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), (F.col("taken") % F.col("size")).cast("int")
     parts = F.concat(F.array_repeat(F.lit(0), full), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
     rows = rows.withColumn("_part", F.explode(parts))
