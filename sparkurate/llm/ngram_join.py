@@ -123,10 +123,10 @@ def _sizes_fit(a: str, b: str, num: int, den: int):
     return F.expr(f"{a} * {num} <= {b} * {den} and {b} * {num} <= {a} * {den}")
 
 
-def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(id, n_shingles, class representative) for each row, and (node, component) for representatives with links."""
     spark = docs.sparkSession
-    scratch = scratch or Scratch(spark, "ngram")
+    scratch = Scratch(spark, "ngram")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ids = docs.where("doc_id is not null")
 
@@ -173,7 +173,7 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     pairs = pairs.where("doc_id <> o.doc_id").where(_sizes_fit("n", "o.n", num, den))
     pairs = pairs.select(F.least("doc_id", "o.doc_id").alias("a"), F.greatest("doc_id", "o.doc_id").alias("b")).distinct()
     tried = scratch.keep(pairs, "tried")
-    links = scratch.keep(_verified(tried, ids, hists, n, num, den), "links")
+    links = scratch.keep(_verified(tried, ids, hists, n, num, den, scratch, "left"), "links")
     nodes = scratch.keep(components(links, scratch), "nodes")
 
     # Second round: lists that hold several components yet.
@@ -181,13 +181,18 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     open_lists = listed.where("m > 2").select("key", "doc_id", "n").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     by_part = open_lists.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = by_part.groupBy("key").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("parts"), F.sum("c").alias("m")).where("parts > 1")
+    largest = scratch.keep(largest, "largest")
     open_lists = open_lists.join(largest.select("key", F.col("x.component").alias("main"), (F.col("m") - F.col("x.c")).alias("others"), "m"), "key")
     more = scratch.keep(_across(open_lists, hists, num, den).join(tried, ["a", "b"], "left_anti"), "more")
-    links = links.unionByName(scratch.keep(_verified(more, ids, hists, n, num, den), "links2"))
+    links = links.unionByName(scratch.keep(_verified(more, ids, hists, n, num, den, scratch, "left2"), "links2"))
     nodes = scratch.keep(components(links, scratch, "cd"), "nodes2")
     sizes = signed.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2")
     sizes = sizes.join(classes.withColumnRenamed("n", "n_shingles"), ["h1", "h2", "n_shingles"], "left")
-    return sizes.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), nodes
+    sizes = sizes.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
+    result = Scratch(spark, "ngram-result")
+    sizes, nodes = result.keep(sizes, "sizes"), result.keep(nodes, "nodes")
+    scratch.drop("")  # signatures and lists are several times the result
+    return sizes, nodes
 
 
 def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: int = 768, other: int = 1024) -> DataFrame:
@@ -234,7 +239,7 @@ def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: i
     return dealt.transform(arrow_map, compare, "a long, b long").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num: int, den: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) that link, by their whole texts; a histogram bound goes first."""
     one, two = hists.select(F.col("doc_id").alias("a"), F.col("hist").alias("ha"), F.col("n").alias("na")), hists.select(F.col("doc_id").alias("b"), F.col("hist").alias("hb"), F.col("n").alias("nb"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -246,8 +251,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num:
             if ok.any():
                 yield batch(out, [b.column(c).filter(pa.array(ok)) for c in ("a", "b")])
 
-    scratch = Scratch(pairs.sparkSession, "ngram-pairs")
-    left = scratch.keep(pairs.join(one, "a").join(two, "b").transform(arrow_map, bound, "a long, b long").distinct(), "left")
+    left = scratch.keep(pairs.join(one, "a").join(two, "b").transform(arrow_map, bound, "a long, b long").distinct(), name)
     bitmap = id_bitmap(left.select("a").union(left.select("b")))
     texts = only_ids(docs, bitmap)
 
