@@ -22,6 +22,31 @@ def bag_overlap(left: DataFrame, right: DataFrame, group: tuple[str, str], value
     return a.join(b, value).groupBy(*group).agg(F.sum(F.least("_a", "_b")).alias("common"))
 
 
+def similar_bags(left: DataFrame, right: DataFrame, group: tuple[str, str], value: str, threshold: float) -> DataFrame:
+    """(left group, right group, common) of bags with common / larger size of at least the threshold, which is above 0.
+
+    Entries are numbered by occurrence, so that bags are sets, and ordered by how many bags have them.
+    Of n entries two such bags share one of the n - ceil(threshold * n) + 1 rarest of each, so an
+    entry that most lists hold brings no two together. Nulls count for a bag's size only.
+    """
+    sides = []
+    for rows, g in ((left, group[0]), (right, group[1])):
+        sizes = rows.groupBy(g).agg(F.count("*").alias("_size"))
+        entries = rows.where(F.col(value).isNotNull()).groupBy(g, value).agg(F.count("*").alias("_n"))
+        sides.append(entries.select(F.col(g), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"), F.col(value).alias("_v")).join(sizes, g))
+    held = sides[0].select("_v", "_k").unionAll(sides[1].select("_v", "_k")).groupBy("_v", "_k").agg(F.count("*").alias("_df"))
+    heads, bags = [], []
+    for rows, g, x in zip(sides, group, "ab", strict=True):
+        order = Window.partitionBy(g).orderBy("_df", "_v", "_k")
+        ranked = rows.join(held, ["_v", "_k"]).withColumn("_at", F.row_number().over(order)).withColumn("_of", F.count("*").over(Window.partitionBy(g)))
+        short = ranked.where(F.col("_at") <= F.col("_of") - F.ceil(F.col("_size") * threshold - 1e-9) + 1)
+        heads.append(short.select("_v", "_k", g, F.col("_size").alias(f"_{x}")))
+        bags.append(rows.groupBy(g).agg(F.collect_list(F.struct("_v", "_k")).alias(f"_bag_{x}")))
+    near = (F.col("_a") >= F.col("_b") * threshold - 1e-9) & (F.col("_b") >= F.col("_a") * threshold - 1e-9)
+    pairs = heads[0].join(heads[1], ["_v", "_k"]).where(near).select(*group).distinct()
+    return pairs.join(bags[0], group[0]).join(bags[1], group[1]).select(*group, F.size(F.array_intersect("_bag_a", "_bag_b")).cast("long").alias("common"))
+
+
 def resolve_tokens(tokens: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
     """tokens(input, position, token) with `id` if exactly one catalog entry has that name or alias."""
     terms = catalog.select(inci_normalize("name").alias("term"), "id").union(aliases.select(inci_normalize("alias"), "id")).distinct()
@@ -39,8 +64,10 @@ def formula_match(inputs: DataFrame, resolved: DataFrame, products: DataFrame, i
     """
     want = as_lists(resolved, "input", ["position"], "id").where(F.size("ids") > 0)
     have = as_lists(items, "product_id", ["position"], "id").select("product_id", F.col("ids").alias("own"), F.col("resolved").alias("own_resolved"))
-    pairs = bag_overlap(resolved, items, ("input", "product_id"), "id")
-    if threshold <= 0:
+    if threshold > 0:
+        pairs = similar_bags(resolved, items, ("input", "product_id"), "id", min(threshold, 1.0))
+    else:
+        pairs = bag_overlap(resolved, items, ("input", "product_id"), "id")
         every = want.select("input").join(have.select("product_id"), how="cross")
         pairs = every.join(pairs, ["input", "product_id"], "left").fillna({"common": 0})
     rows = pairs.join(want, "input").join(have, "product_id").join(inputs.select("input", F.col("brand").alias("_brand"), F.col("name").alias("_name")), "input").join(products.select("product_id", "brand", F.col("name").alias("product_name")), "product_id")

@@ -112,3 +112,16 @@ def fill_groups(rows: DataFrame, order: list[str], size: str, most_rows: int, mo
 
     filled = lists.select(group, "l", F.aggregate("l", start, step)["out"].alias("b"))
     return filled.select(group, F.explode(F.arrays_zip("l", "b")).alias("x")).select(group, *[F.col(f"x.l.{o}").alias(o) for o in order], F.col("x.l._n").alias(size), F.col("x.b").alias("batch"))
+
+
+def merge_sequences(rows: DataFrame, group: str, value: str, found: DataFrame, position: str = "position") -> DataFrame:
+    """rows with each place of found(group, start, name, length), as from find_sequences(), as one row of that name; renumbered.
+
+    Places do not overlap, so a row belongs to the last one that starts at or before it.
+    """
+    marked = rows.join(found.select(group, F.col("start").alias(position), F.col("name").alias("_name"), F.col("length").alias("_n")), [group, position], "left")
+    w = _by(group, position).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.last(F.when(F.col("_name").isNotNull(), F.col(position) + F.col("_n")), ignorenulls=True).over(w)
+    marked = marked.withColumn("_end", last).withColumn(value, F.coalesce("_name", value))
+    inside = F.col("_name").isNull() & F.coalesce(F.col(position) < F.col("_end"), F.lit(False))
+    return renumber(marked.where(~inside).drop("_name", "_n", "_end"), group, [position], position).select(rows.columns)

@@ -101,10 +101,15 @@ def spelling_candidates(sources: DataFrame, targets: DataFrame, least: float = 0
 def rank_matches(catalog: DataFrame, queries: DataFrame, limit: int = 12) -> DataFrame:
     """(query, id, name, confidence, rank): the best `limit` of catalog(id, name) for each query typed.
 
-    Queries are what people typed into a search box, so every name is scored for each of them. The
-    smaller side is broadcast by Spark if it is small enough.
+    A name that a query fits has all its letters, so a query meets the names with the letter of its own
+    that the fewest names have.
     """
-    scored = catalog.join(queries.select(F.col(queries.columns[0]).alias("query")).distinct(), how="cross").withColumn("confidence", sim.search_score("query", "name")).where("confidence is not null")
+    letters = lambda c: F.array_distinct(F.filter(F.split(normalize_name(c), ""), lambda x: ~x.isin("", " ")))
+    held = catalog.select("id", "name", F.explode(letters("name")).alias("_letter"))
+    counts = held.groupBy("_letter").agg(F.count("*").alias("_n"))
+    typed = queries.select(F.col(queries.columns[0]).alias("query")).distinct().select("query", F.explode(letters("query")).alias("_letter"))
+    rarest = typed.join(counts, "_letter", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_letter")).alias("_l")).select("query", F.col("_l._letter").alias("_letter"))
+    scored = rarest.join(held, "_letter").drop("_letter").withColumn("confidence", sim.search_score("query", "name")).where("confidence is not null")
     order = Window.partitionBy("query").orderBy(F.desc(F.round("confidence", 9)), "name", "id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("query", "id", "name", "confidence", "rank")
 
@@ -125,3 +130,10 @@ def spelling_disagreement(evidence: DataFrame, donors: tuple[str, ...] = ("regis
     """(token, disagrees): more than one normalized spelling among the sources that may donate one; evidence(token, source, found, canonical)."""
     name = normalize_name("canonical")
     return evidence.groupBy("token").agg((F.count_distinct(F.when(F.col("found") & F.col("source").isin(*donors) & (name != ""), name)) > 1).alias("disagrees"))
+
+
+def rematch(items: DataFrame, index: DataFrame, token: str = "token") -> DataFrame:
+    """items(..., token, id) whose id is null with the id of the index(term, id); the others stay as they are."""
+    known = index.select(F.col("term").alias("_term"), F.col("id").alias("_id"))
+    met = items.withColumn("_term", F.when(F.col("id").isNull(), inci_normalize(token))).join(known, "_term", "left")
+    return met.withColumn("id", F.coalesce("id", "_id")).select(items.columns)

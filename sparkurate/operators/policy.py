@@ -185,3 +185,95 @@ def needs_confirmation(verdict: Column, resolution: Column, position: Column) ->
 def preferred_name(evidence: Column, raw: Column, donors: tuple[str, ...] = ("registry", "page")) -> Column:
     """The canonical name of the first evidence (array of structs) of a donor, else the raw token."""
     return F.coalesce(F.get(F.filter(evidence, lambda e: e["found"] & e["source"].isin(*donors)), F.lit(0))["canonical"], raw)
+
+
+def _json_object(raw: Column) -> Column:
+    """The outermost braces of an answer as a variant; null if they hold no JSON."""
+    return F.try_parse_json(F.nullif(F.regexp_extract(raw, r"(?s)\{.*\}", 0), F.lit("")))
+
+
+def _field(data: Column, name: str) -> Column:
+    return F.try_variant_get(data, f"$.{name}", "variant")
+
+
+def _has_type(value: Column, *kinds: str) -> Column:
+    """Whether a variant is there and of one of these types; VOID is JSON's null."""
+    kind = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+    return F.coalesce(value.isNotNull() & kind.isin(*kinds), F.lit(False))
+
+
+NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE")
+
+
+def parse_judgment(raw: Column) -> Column:
+    """struct<verdict, choice, confidence, reason> of a model's answer about a token; what isn't as it should be is unknown, with why."""
+    data = _json_object(raw)
+    verdict, choice, confidence, reason = (_field(data, n) for n in ("verdict", "choice_id", "confidence", "reason"))
+    text = lambda v: F.try_variant_get(v, "$", "string")
+    number = F.try_variant_get(confidence, "$", "double")
+
+    def out(v: Column, c: Column, n: Column, why: Column) -> Column:
+        return F.struct(v.alias("verdict"), c.cast("string").alias("choice"), n.cast("double").alias("confidence"), why.alias("reason"))
+
+    unknown = lambda why: out(F.lit("unknown"), F.lit(None), F.lit(0.0), F.lit(why))
+    missing = verdict.isNull() | choice.isNull() | confidence.isNull() | reason.isNull()
+    return (
+        F.when(data.isNull() | missing, unknown("no parseable result"))
+        .when(~_has_type(verdict, "STRING") | ~F.coalesce(text(verdict).isin("matched", "new_ingredient", "junk", "unknown"), F.lit(False)), unknown("invalid verdict"))
+        .when(~_has_type(choice, "STRING", "VOID"), unknown("invalid choice_id"))
+        .when(~_has_type(reason, "STRING"), unknown("invalid reason"))
+        .when(~_has_type(confidence, *NUMBERS) | ~number.between(0, 1), unknown("invalid confidence"))
+        .otherwise(out(text(verdict), F.nullif(text(choice), F.lit("")), number, text(reason)))
+    )
+
+
+def parse_finding(raw: Column) -> Column:
+    """struct<found, source_name, source_url, product_name, ingredients, reason> of a model's answer about a product; null if it isn't as it should be."""
+    data = _json_object(raw)
+    found, reason, name, url, product, items = (_field(data, n) for n in ("found", "reason", "source_name", "source_url", "matched_product_name", "online_ingredients"))
+    text = lambda v: F.when(_has_type(v, "STRING"), F.try_variant_get(v, "$", "string"))
+    each = F.try_variant_get(items, "$", "array<variant>")
+    texts = F.transform(F.coalesce(each, F.array().cast("array<variant>")), lambda v: F.btrim(text(v)))
+    sound = _has_type(items, "ARRAY") & ~F.exists(texts, lambda t: t.isNull() | (t == ""))
+    told = _has_type(found, "BOOLEAN") & _has_type(reason, "STRING")
+    yes = F.try_variant_get(found, "$", "boolean")
+
+    def out(f: Column, source: Column, link: Column, n: Column, l: Column) -> Column:
+        return F.struct(f.alias("found"), source.cast("string").alias("source_name"), link.cast("string").alias("source_url"), n.cast("string").alias("product_name"), l.cast("array<string>").alias("ingredients"), text(reason).alias("reason"))
+
+    none = F.lit(None)
+    named = F.coalesce(F.btrim(text(name)) != "", F.lit(False)) & host(text(url)).isNotNull()
+    full = out(yes, F.btrim(text(name)), text(url), F.nullif(F.btrim(text(product)), F.lit("")), texts)
+    return F.when(told & ~yes, out(yes, none, none, none, none)).when(told & named & sound, full)
+
+
+def resolve_tokens(tokens: DataFrame, submissions: DataFrame, entries: DataFrame, choices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tokens, log) after a reviewer's choices(token_id, resolution, entry_id, canonical_name, actor), one for each token.
+
+    tokens(token_id, id, raw_token, resolution, entry_id, canonical_name, match_type, confidence, resolution_source), submissions(id, status).
+    A choice counts if its submission waits for a person; a match needs an entry that exists, a new entry a
+    name. log(token_id, id, actor, accepted, reason): what was refused, and why.
+    """
+    known = entries.select(F.col("id").alias("_entry")).distinct()
+    asked = choices.select("token_id", F.col("resolution").alias("_to"), F.col("entry_id").alias("_entry"), F.nullif(F.btrim("canonical_name"), F.lit("")).alias("_name"), "actor")
+    asked = asked.join(known.withColumn("_known", F.lit(True)), "_entry", "left")
+    met = tokens.join(submissions.select("id", F.col("status").alias("_status")), "id", "left").join(asked, "token_id", "left")
+    why = (
+        F.when(~F.coalesce(F.col("_to").isin("matched", "new_ingredient", "junk"), F.lit(False)), "invalid resolution")
+        .when(~F.coalesce(F.col("_status") == "pending_human", F.lit(False)), "not awaiting review")
+        .when((F.col("_to") == "matched") & F.col("_known").isNull(), "no such entry")
+        .when((F.col("_to") == "new_ingredient") & F.col("_name").isNull(), "no name")
+    )
+    met = met.withColumn("_why", why).withColumn("_ok", F.col("actor").isNotNull() & F.col("_why").isNull())
+    new = {
+        "resolution": F.col("_to"), "entry_id": F.when(F.col("_to") == "matched", F.col("_entry")), "canonical_name": F.when(F.col("_to") == "new_ingredient", F.col("_name")),
+        "match_type": F.when(F.col("_to") == "matched", F.col("match_type")), "confidence": F.when(F.col("_to") == "matched", F.col("confidence")), "resolution_source": F.lit("human"),
+    }
+    out = met.select(*[F.when(F.col("_ok"), new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in tokens.columns])
+    return out, met.where("actor is not null").select("token_id", "id", "actor", F.col("_ok").alias("accepted"), F.col("_why").alias("reason"))
+
+
+def reject_submissions(submissions: DataFrame, refused: DataFrame) -> DataFrame:
+    """submissions(id, status, ...) with refused(id) as rejected, where they wait for a person."""
+    met = submissions.join(refused.select("id", F.lit(True).alias("_no")).distinct(), "id", "left")
+    return met.withColumn("status", F.when(F.col("_no") & (F.col("status") == "pending_human"), "rejected").otherwise(F.col("status"))).select(submissions.columns)

@@ -150,3 +150,23 @@ def with_positions_checked(rows: DataFrame, group: str, position: str = "positio
 def running_first(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Rows without later repeats of a key."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
+
+
+def json_lists(rows: DataFrame, group: str, order: list[str], columns: list[str]) -> DataFrame:
+    """(group, items): each group's rows in order, as a JSON array of objects."""
+    parts = F.array_sort(F.collect_list(F.struct(*[F.col(o).alias(f"_{i}") for i, o in enumerate(order)], F.struct(*columns).alias("_v"))))
+    return rows.groupBy(group).agg(F.to_json(parts["_v"]).alias("items"))
+
+
+def beside(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """rows with the columns of a table of one row, as a grand total; more rows are an error."""
+    whole = one.agg(F.count("*").alias("_n"), F.first(F.struct("*")).alias("_one"))  # one row by its nature
+    checked = whole.select(F.when(F.col("_n") <= 1, F.col("_one")).otherwise(F.raise_error(F.lit("more than one row")).cast(whole.schema["_one"].dataType)).alias("_one"))
+    return rows.crossJoin(F.broadcast(checked)).select(*rows.columns, "_one.*")
+
+
+def detach(tables: dict[str, DataFrame], gone: DataFrame) -> dict[str, DataFrame]:
+    """entries(id), aliases(id) and items(id) without gone(id): items stay with no entry, aliases and entries go."""
+    lost = gone.select("id", F.lit(True).alias("_gone")).distinct()
+    items = tables["items"].join(lost, "id", "left").withColumn("id", F.when(F.col("_gone").isNull(), F.col("id"))).select(tables["items"].columns)
+    return {"items": items, "aliases": delete_using(tables["aliases"], gone, ["id"]), "entries": delete_using(tables["entries"], gone, ["id"])}

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import brand_key, diff_key, hashed_slug, inci_normalize, product_slug
@@ -126,3 +126,30 @@ def last_success(spark: SparkSession, path: str) -> DataFrame:
     """(stage, run_id, ended_at) of the newest successful run of each stage."""
     runs = spark.read.schema(RUNS).parquet(path).where("status = 'success'")
     return runs.groupBy("stage").agg(F.max_by("run_id", "ended_at").alias("run_id"), F.max("ended_at").alias("ended_at"))
+
+
+def new_submissions(table: DataFrame, new: DataFrame, now: Column) -> DataFrame:
+    """table(id, brand, name, ingredients, submitted_by, status, attempt_count, created_at) and new(brand, name, ingredients, submitted_by) ones as received; their ids are hashes of all they say."""
+    parts = [F.coalesce(c, F.lit("")) for c in ("brand", "name", "ingredients", "submitted_by")]
+    rows = new.select(F.substring(F.sha2(F.concat_ws("|", *parts, now.cast("string")), 256), 1, 32).alias("id"), "brand", "name", "ingredients", "submitted_by", F.lit("received").alias("status"), F.lit(0).alias("attempt_count"), now.alias("created_at"))
+    return insert_missing(table, rows, ["id"])
+
+
+def batch_requests(requests: DataFrame, longest: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(requests(custom_id, ...) that may go into a batch, faults(custom_id, reason)): ids are unique, not blank and not too long."""
+    n = requests.groupBy("custom_id").agg(F.count("*").alias("n"))
+    why = F.when(F.coalesce(F.length(F.btrim("custom_id")), F.lit(0)) == 0, "blank").when(F.length("custom_id") > longest, "too long").when(F.col("n") > 1, "repeated")
+    faults = n.select("custom_id", why.alias("reason")).where("reason is not null")
+    return requests.join(faults.select("custom_id"), "custom_id", "left_anti").where("custom_id is not null").select(requests.columns), faults
+
+
+def answer_text(content: Column, kind: Column) -> Column:
+    """The last text of an answer's blocks (array of struct<type, text>), as what comes before is about searches; null if the request failed."""
+    texts = F.filter(content, lambda b: F.coalesce(b["type"] == "text", F.lit(True)) & F.coalesce(b["text"] != "", F.lit(False)))
+    return F.when(F.coalesce(kind == "succeeded", F.lit(True)), F.get(texts, F.size(texts) - 1)["text"])
+
+
+def counted(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, Observation]:
+    """df that counts as it is written, and the observation that has the counters then."""
+    seen = Observation(name)
+    return df.observe(seen, *[F.coalesce(c, F.lit(0)).alias(k) for k, c in counters.items()]), seen

@@ -74,3 +74,15 @@ def write_prompts(entries: DataFrame, path: str) -> None:
 def write_top(counts: DataFrame, path: str) -> None:
     """A CSV file with a header of counts that are limited already."""
     counts.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def move_files(spark: SparkSession, path: str, names: DataFrame, target: str, suffix: str = ".json") -> int:
+    """Move the files of names(slug) from one folder to another, and return how many there were; for an inbox, of which a person writes the files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to = jvm.org.apache.hadoop.fs.Path(target)
+    fs = to.getFileSystem(conf)
+    fs.mkdirs(to)
+    moved = 0
+    for row in names.select("slug").distinct().toLocalIterator():
+        moved += fs.rename(jvm.org.apache.hadoop.fs.Path(f"{path}/{row.slug}{suffix}"), jvm.org.apache.hadoop.fs.Path(f"{target}/{row.slug}{suffix}"))
+    return moved

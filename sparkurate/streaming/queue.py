@@ -80,3 +80,37 @@ def run_ticks(spark: SparkSession, source: str, schema: str, checkpoint: str, st
     """
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_tick).parquet(source)
     rows.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+#: The stages of a tick, in order.
+TICK = ("poll", "intake", "submit", "apply", "describe", "purge")
+
+
+def run_stages(tables: dict[str, DataFrame], stages: dict[str, Callable[[dict[str, DataFrame]], dict[str, DataFrame]]], only: str | None = None) -> dict[str, DataFrame]:
+    """tables after the stages of a tick in their order, or after one; a stage gives the tables it changes."""
+    unknown = {*stages, *([only] if only else [])} - set(TICK)
+    if unknown:
+        raise ValueError(f"unknown stages: {sorted(unknown)}")
+    for name in TICK:
+        if name in stages and only in (None, name):
+            tables = tables | stages[name](tables)
+    return tables
+
+
+def poll(rows: DataFrame, batches: DataFrame, now: Column, deadline_minutes: int = 24 * 60, last_attempt: int = 2) -> DataFrame:
+    """rows(id, status, batch_id, attempt_count, locked_at, ...) with `outcome` and `sync`, from batches(batch_id, state).
+
+    Rows of a batch that has ended are ready for its results; those of one in progress wait until the
+    deadline. A batch that failed, that nobody knows, or that is late is given up: its rows lose it
+    and, after `last_attempt` attempts, are to be asked about one by one (sync). Nothing is kept between
+    polls, so a poll that is broken off is simply run again.
+    """
+    met = rows.join(batches.select("batch_id", F.col("state").alias("_state")), "batch_id", "left")
+    mine = F.col("status").isin("verifying", "submitted") & F.col("batch_id").isNotNull()
+    late = F.coalesce(F.col("locked_at") < now - F.make_dt_interval(mins=F.lit(deadline_minutes)), F.lit(False))
+    waits = F.coalesce(F.col("_state") == "in_progress", F.lit(False)) & ~late
+    outcome = F.when(~mine, "idle").when(F.col("_state") == "ended", "ready").when(waits, "waiting").otherwise("failed")
+    met = met.withColumn("outcome", outcome)
+    gone = F.col("outcome") == "failed"
+    met = met.withColumns({"sync": gone & (F.col("attempt_count") >= last_attempt), "batch_id": F.when(~gone, F.col("batch_id"))})
+    return met.select(*rows.columns, "outcome", "sync")
