@@ -268,12 +268,6 @@ def spelling_margin(spark, d):
     return s.withColumn("similarity", F.round("similarity", 6)).withColumn("score_margin", F.round("score_margin", 6))
 
 
-@query()
-def fuzzy_rank_topk(spark, d):
-    typed = read(spark, d, "part").select(F.expr("substring(p_name, 1, length(p_name) - 2)").alias("query")).distinct()
-    return matching.rank_matches(catalog(spark, d), typed)
-
-
 # --------------------------------------------------------------------------- lists
 
 
@@ -349,12 +343,6 @@ def candidate_priority_pick(spark, d):
     return lists.priority_candidates(read(spark, d, "part"), "p_partkey", [F.split_part("p_name", F.lit(" "), F.lit(2)), tx.inci_normalize("p_name"), F.lower("p_type")], x)
 
 
-@query()
-def batch_fill(spark, d):
-    rows = read(spark, d, "conversations").withColumn("n", F.octet_length("text"))
-    return lists.fill_groups(rows, ["conv_id", "turn"], "n", 100, 20_000, "role")
-
-
 # --------------------------------------------------------------------------- tables
 
 
@@ -522,12 +510,6 @@ def bidirectional_coverage(spark, d):
     return pair.select("l_orderkey", formulas.coverage("a", "b").alias("c")).select("l_orderkey", "c.left", "c.right")
 
 
-@query()
-def overlap_alternatives(spark, d):
-    p = read(spark, d, "part").select("p_partkey", F.concat("p_name", F.lit(" (Aqua/"), "p_type", F.lit(")")).alias("x"))
-    return p.select("p_partkey", F.array_join(F.array_sort(tx.overlap_alternatives("x")), "|").alias("spellings"))
-
-
 # --------------------------------------------------------------------------- queue
 
 QUEUE = "q AS (SELECT event_id AS id, CASE event_type WHEN 'view' THEN 'received' WHEN 'click' THEN 'verifying' WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'applied' ELSE 'submitted' END AS status, ts AS created_at, ts AS locked_at, ts AS updated_at, (value::INT % 5)::INT AS attempt_count FROM events)"

@@ -209,3 +209,44 @@ def test_queue(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         queue.run_ticks(spark, f"{tmp_path}/in/*", "id int", f"{tmp_path}/state", lambda df, n: seen.extend(r.id for r in df.collect()), 1)
     assert sorted(seen) == [0, 1, 2]
+
+
+def test_similar_bags_equal_all_pairs(spark):
+    import random
+
+    from sparkurate.operators.formulas import bag_overlap, similar_bags
+
+    r = random.Random(4)
+    rows = [(g, r.choice([None, 1, 1, 2, 3, 4, 5, 6, 7])) for g in range(60) for _ in range(r.randrange(1, 9))]
+    a = spark.createDataFrame(rows, "input long, v long")
+    b = a.withColumnRenamed("input", "product_id")
+    size = {}
+    for g, _ in rows:
+        size[g] = size.get(g, 0) + 1
+    all_ = {(x.input, x.product_id): x.common for x in bag_overlap(a, b, ("input", "product_id"), "v").collect()}
+    for t in (0.25, 0.5, 0.8, 1.0):
+        got = {(x.input, x.product_id): x.common for x in similar_bags(a, b, ("input", "product_id"), "v", t).collect()}
+        fit = lambda p, n, t=t: n / max(size[p[0]], size[p[1]]) >= t - 1e-9
+        assert {p: n for p, n in got.items() if fit(p, n)} == {p: n for p, n in all_.items() if fit(p, n)}
+
+
+def test_counted_and_moved(spark, tmp_path):
+    from sparkurate.plans.submissions import counted
+    from sparkurate.sources.files import move_files
+
+    df, seen = counted(spark.range(10), "stage", kept=F.count_if(F.col("id") > 3), rows=F.count("*"))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"kept": 6, "rows": 10}
+    (tmp_path / "in").mkdir()
+    for n in "abc":
+        (tmp_path / "in" / f"{n}.json").write_text("{}")
+    assert move_files(spark, f"file://{tmp_path}/in", spark.createDataFrame([("a",), ("b",)], "slug string"), f"file://{tmp_path}/done") == 2
+    assert sorted(p.name for p in (tmp_path / "done").glob("*.json")) == ["a.json", "b.json"] and (tmp_path / "in" / "c.json").exists()
+
+
+def test_beside_takes_one_row(spark):
+    from sparkurate.operators.tables import beside
+
+    assert [r.n for r in beside(spark.range(2), spark.range(5).selectExpr("count(*) as n")).collect()] == [5, 5]
+    with pytest.raises(Exception, match="more than one row"):
+        beside(spark.range(2), spark.range(2).withColumnRenamed("id", "n")).collect()

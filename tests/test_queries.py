@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from sparkurate.plans import queries
+from sparkurate.plans import queries, stage_queries  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
