@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import embedding_dedup, html_text, mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
 from .common import Scratch, table
@@ -15,7 +16,9 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.removed_spans(table(spark, sf_dir, "documents"), depth=400, unit="bytes")
+    left = substring_dedup.removed_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), depth=400, unit="bytes", keep_text=True)
+    kept = F.col("kept")
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.char_length(kept).cast("long").alias("n_chars"), kept.alias("text"))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
