@@ -350,7 +350,9 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     """(node, component): the smallest id reachable, for every node of an edge; edges: two long columns.
 
     Alternates large-star and small-star steps on tables in the shared folder until all nodes hang on
-    their root, after each task has reduced its own edges to stars.
+    their root, after each task has reduced its own edges to stars. In every table u > v, so a large
+    step needs only the least smaller neighbor of each v, and a root has none. That table is written:
+    a root of very many nodes is then a key of one side only, which Spark may split when it joins.
     """
     spark = edges.sparkSession
     u, v = edges.columns[:2]
@@ -359,14 +361,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
     e = scratch.keep(e.transform(arrow_map, _forest, schema), f"{name}0")
     last = None
     for step in range(1, 60):
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = scratch.keep(e.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")), f"{name}least{step}")
+        large = e.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct()
         e = scratch.keep(small, f"{name}{step}")
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum("v")).first())
+        scratch.drop(f"{name}least{step}")
         if step > 1:
             scratch.drop(f"{name}{step - 2}")
         if now == last:
