@@ -27,6 +27,8 @@ that repeat an id count as one document: they link with whatever any of their te
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -123,10 +125,17 @@ def _sizes_fit(a: str, b: str, num: int, den: int):
     return F.expr(f"{a} * {num} <= {b} * {den} and {b} * {num} <= {a} * {den}")
 
 
-def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(id, n_shingles, class representative) for each row, and (node, component) for representatives with links."""
+class _Indexed(NamedTuple):
+    ids: DataFrame  # doc_id, text
+    signed: DataFrame  # doc_id, n, h1, h2, hist, keys
+    classes: DataFrame  # h1, h2, n, rep
+    hists: DataFrame  # doc_id, hist, n
+    postings: DataFrame  # key, doc_id, n
+
+
+def _indexed(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, scratch: Scratch) -> _Indexed:
+    """Signatures of the documents, and one document for each class of equal sets in the posting lists."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ids = docs.where("doc_id is not null")
 
@@ -164,6 +173,21 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     reps = signed.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n"), ["doc_id", "h1", "h2", "n"], "left_semi")
     postings = reps.select(F.explode("keys").alias("key"), "doc_id", "n")
     hists = signed.where("n > 0 and doc_id is not null").select("doc_id", "hist", "n")
+    return _Indexed(ids, signed, classes, hists, postings)
+
+
+def _sizes(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, rep) for each row: rep is the smallest id with an equal set, itself included."""
+    sizes = signed.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2")
+    sizes = sizes.join(classes.withColumnRenamed("n", "n_shingles"), ["h1", "h2", "n_shingles"], "left")
+    return sizes.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
+
+
+def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(id, n_shingles, class representative) for each row, and (node, component) for representatives with links."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "ngram")
+    ids, signed, classes, hists, postings = _indexed(docs, n, num, den, id_col, text_col, scratch)
 
     # First round: everyone against the list's pivots.
     lists = postings.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("p"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("h"), "doc_id", "n")).alias("q")).where("m > 1")
@@ -186,9 +210,7 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     more = scratch.keep(_across(open_lists, hists, num, den).join(tried, ["a", "b"], "left_anti"), "more")
     links = links.unionByName(scratch.keep(_verified(more, ids, hists, n, num, den, scratch, "left2"), "links2"))
     nodes = scratch.keep(components(links, scratch, "cd"), "nodes2")
-    sizes = signed.select("doc_id", F.col("n").alias("n_shingles"), "h1", "h2")
-    sizes = sizes.join(classes.withColumnRenamed("n", "n_shingles"), ["h1", "h2", "n_shingles"], "left")
-    sizes = sizes.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
+    sizes = _sizes(signed, classes)
     result = Scratch(spark, "ngram-result")
     sizes, nodes = result.keep(sizes, "sizes"), result.keep(nodes, "nodes")
     scratch.drop("")  # signatures and lists are several times the result
@@ -198,13 +220,14 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
 def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: int = 768, other: int = 1024) -> DataFrame:
     """Pairs (a, b) of different components on one list that the histograms don't rule out.
 
-    Members outside the largest component are dealt out in cells of about `side`; all members meet
-    them there, dealt out again by `other` where the list is long. A task streams through its cells.
+    Members outside the largest component (all, where main is null) are dealt out in cells of about
+    `side`; all members meet them there, dealt out again by `other` where the list is long. A task
+    streams through its cells.
     """
     rows = open_lists.join(hists.select("doc_id", "hist"), "doc_id")
     cells, splits = F.ceil(F.col("others") / side).cast("int"), F.ceil(F.col("m") / other).cast("int")
     h = F.xxhash64("doc_id")
-    asks = rows.where("component <> main").select(F.col("key"), F.pmod(h, cells).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), splits - 1)).alias("j"), F.lit(0).alias("role"), "doc_id", "n", "component", "hist")
+    asks = rows.where("not component <=> main").select(F.col("key"), F.pmod(h, cells).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), splits - 1)).alias("j"), F.lit(0).alias("role"), "doc_id", "n", "component", "hist")
     all_ = rows.select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("i"), F.pmod(F.xxhash64(h), splits).cast("int").alias("j"), F.lit(1).alias("role"), "doc_id", "n", "component", "hist")
     dealt = asks.unionByName(all_).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "role")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -278,3 +301,23 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: in
     sizes, nodes = set_sizes_and_links(docs, n, num, den, id_col, text_col)
     out = sizes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
+
+
+def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The whole join: (doc_id, n_shingles, rep) for each row, and (a, b), a < b, for every linked pair of representatives.
+
+    Rows of one rep have equal sets, so they link with each other and with what their rep links with.
+    Every two members of a posting list meet in cells, as the result may hold all of them; where
+    components are enough, ngram_jaccard_components looks at far fewer pairs.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "ngram-links")
+    ids, signed, classes, hists, postings = _indexed(docs, n, num, den, id_col, text_col, scratch)
+    lists = scratch.keep(postings.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "lists")
+    open_lists = postings.join(lists, "key").select("key", "doc_id", "n", F.col("doc_id").alias("component"), F.lit(None).cast("long").alias("main"), F.col("m").alias("others"), "m")
+    pairs = scratch.keep(_across(open_lists, hists, num, den), "pairs")
+    links = _verified(pairs, ids, hists, n, num, den, scratch, "left")
+    result = Scratch(spark, "ngram-links-result")
+    sizes, links = result.keep(_sizes(signed, classes), "sizes"), result.keep(links, "links")
+    scratch.drop("")
+    return sizes, links

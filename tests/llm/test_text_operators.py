@@ -51,6 +51,31 @@ def test_ngram_join_odd(odd, n, num, den):
         assert r.component_id == (None if r.doc_id is None else want[r.doc_id])
 
 
+def all_links(rows, n, num, den):
+    """((id, size, least id of an equal set) of each row, linked pairs of such least ids), by comparing all pairs."""
+    sets = [(i, shingles(t, n)) for i, t in rows]
+    rep = {}
+    for i, s in sets:
+        if s and i is not None:
+            rep[s] = min(i, rep.get(s, i))
+    sizes = Counter((i, len(s), None if i is None else rep.get(s, i)) for i, s in sets)
+    pairs = set()
+    for x, a in rep.items():
+        for y, b in rep.items():
+            k = len(x & y)
+            if a < b and k and den * k >= num * (len(x) + len(y) - k):
+                pairs.add((a, b))
+    return sizes, pairs
+
+
+@pytest.mark.parametrize("n,num,den", [(4, 85, 100), (5, 80, 100)])
+def test_ngram_join_links_odd(odd, n, num, den):
+    sizes, links = ngram_join.ngram_jaccard_links(odd, n, num, den)
+    want_sizes, want = all_links([r[:2] for r in odd_rows()], n, num, den)
+    assert Counter((r.doc_id, r.n_shingles, r.rep) for r in sizes.collect()) == want_sizes
+    assert sorted((r.a, r.b) for r in links.collect()) == sorted(want)
+
+
 def test_ngram_join_chains_and_frequent_tokens(spark):
     """A large group of near copies with many edits, and unrelated documents that share its passages."""
     import random
@@ -68,6 +93,10 @@ def test_ngram_join_chains_and_frequent_tokens(spark):
     got = ngram_join.ngram_jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85, 100).collect()
     assert {x.doc_id: x.component_id for x in got} == want
     assert len(set(want.values())) < 150
+    _, links = ngram_join.ngram_jaccard_links(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85, 100)
+    _, want = all_links(rows, 4, 85, 100)
+    assert sorted((x.a, x.b) for x in links.collect()) == sorted(want)
+    assert len(want) > 150
 
 
 def test_signatures_meet():
@@ -91,6 +120,29 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(101)}, **{i: 200 for i in range(200, 260)}, 400: 400, 500: 400}
 
 
+@pytest.mark.parametrize("seed", [0, 1])
+def test_components_of_random_graphs(spark, seed):
+    """Sparse random links over negative and positive ids, and a hub in each of many tasks."""
+    import random
+
+    r = random.Random(seed)
+    edges = [(r.randrange(-500, 500), r.randrange(-500, 500)) for _ in range(420)] + [(hub, x) for hub in (5000, 1000) for x in range(1001, 1400)]
+    up = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = root(a), root(b)
+            up[max(a, b)] = min(a, b)
+    got = components(spark.createDataFrame(edges, "a long, b long").repartition(7), Scratch(spark, "t")).collect()
+    assert len(got) == len(up)
+    assert {x.node: x.component for x in got} == {x: root(x) for x in up}
+
+
 def removed(texts, depth):
     """Masks of bytes that a repeated stretch of depth bytes covers."""
     seen = Counter(t[s : s + depth] for t in texts for s in range(len(t) - depth + 1))
@@ -296,6 +348,7 @@ def test_prefix_sums(spark):
 def test_empty_tables(spark, none):
     empty = lambda df: df.count() == 0
     assert empty(ngram_join.ngram_jaccard_components(none, 4, 85, 100))
+    assert all(map(empty, ngram_join.ngram_jaccard_links(none, 4, 85, 100)))
     assert empty(substring_dedup.removed_spans(none, 400))
     assert empty(packing.packed_sequences(none, queries.tokenizer_path()))
     assert empty(order_minhash.edit_comparison(none)) and empty(order_minhash.fingerprints(none))
