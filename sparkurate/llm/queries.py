@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, html_text, mixing, ngram_join, order_minhash, packing, quality, substring_dedup, token_store, warc
+from . import collocations, decontamination, embedding_dedup, html_text, mixing, ngram_join, order_minhash, packing, quality, sort_means, substring_dedup, token_store, warc
 from .common import Scratch, table
 
 
@@ -66,6 +66,24 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_sort_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = sort_means.integer_vectors(table(spark, sf_dir, "embeddings"), dim=64, scale=256)
+    assigned, centers = sort_means.sort_means(vectors, F.sha2(F.concat(F.lit("2:"), F.col("vec_id").cast("string")), 256), k=40, rounds=5)
+    return sort_means.with_inertia(assigned, centers).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), max_n=4, least=30, top=2000, covered=80)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontamination.contamination(docs, items, window=10, keep_text=False)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -91,6 +109,48 @@ OP9 = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), q AS (S
     SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN keep END AS refers_to FROM r"""
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _means_sql(k: int = 40, rounds: int = 5) -> str:
+    """A table of centroids c<i> and one of assignments a<i> for each round."""
+    parts = ["""v AS (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x::DOUBLE))) = 64)"""]
+    parts.append(f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM v WHERE vec_id IS NOT NULL ORDER BY sha256('2:' || vec_id), v LIMIT {k})")
+    distance = "list_sum(list_transform(list_zip(v.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    for i in range(rounds + 1):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT id, (min({{'d': d, 'c': c}})).c AS c, (min({{'d': d, 'c': c}})).d AS d FROM (SELECT id, c, {distance} AS d FROM v, c{i} c) GROUP BY id)")
+        if i < rounds:
+            mean = "(s - ((s % n) + n) % n) // n"
+            parts.append(f"""m{i} AS (SELECT c, list(({mean})::BIGINT ORDER BY i) AS v FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT a.c, unnest(v.v) AS x, unnest(range(1, 65)) AS i FROM a{i} a JOIN v USING (id)) GROUP BY c, i) GROUP BY c),
+                c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (c))""")
+    return f"""WITH {", ".join(parts)}
+        SELECT vec_id, a.c::INT AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN v USING (id) JOIN c{rounds} c USING (c)"""
+
+
+OP12 = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+    w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p), m AS (SELECT unnest(range(1, 5)) AS m),
+    g AS (SELECT lang, w[i:i + m - 1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, m)),
+    f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY 1, 2 HAVING count(*) >= 30), n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+    long AS (SELECT lang, g[s:e] AS g, max(f) AS longer FROM (SELECT lang, g, f, s, unnest(range(s + 1, len(g) + 1)) AS e FROM (SELECT lang, g, f, unnest(range(1, len(g))) AS s FROM f WHERE len(g) > 2)) WHERE e - s + 1 < len(g) GROUP BY 1, 2),
+    c AS (SELECT f.lang, f.g, f.f AS a FROM f LEFT JOIN long USING (lang, g) WHERE len(f.g) > 1 AND (longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * f.f)),
+    k AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM c),
+    s AS (SELECT k.lang, k.g, k.a, k.k, l.f AS l, r.f AS r, ((2000000::HUGEINT * k.a) // (l.f + r.f))::BIGINT AS score FROM k JOIN f l ON l.lang = k.lang AND l.g = k.g[1:k.k] JOIN f r ON r.lang = k.lang AND r.g = k.g[k.k + 1:]),
+    b AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS first FROM s),
+    o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM b WHERE first = 1)
+    SELECT * FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang)) WHERE rank <= 2000"""
+
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP13 = f"""WITH d AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    i AS (SELECT DISTINCT item_id, least(10, len(w)) AS m, w[s:s + least(10, len(w)) - 1] AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS s FROM b WHERE len(w) > 0)),
+    x AS (SELECT id, s, m, w[s:s + m - 1] AS g FROM (SELECT id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM i))),
+    h AS (SELECT id, s, m, item_id FROM x JOIN i USING (m, g)),
+    n AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(s, s + m)) AS p FROM h) GROUP BY 1),
+    t AS (SELECT id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM h GROUP BY 1)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN n USING (id) LEFT JOIN t USING (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for what SQL can express; tests/llm hold the others against plain versions."""
-    return {"op1_ngram_jaccard_join": OP1, "op5_embedding_dedup": OP5, "op9_warc": OP9}
+    return {"op11_sort_means": _means_sql(), "op12_collocations": OP12, "op13_decontamination": OP13, "op1_ngram_jaccard_join": OP1, "op5_embedding_dedup": OP5, "op9_warc": OP9}
