@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, Scratch, WordHash, arrow_map, batch, binary_rows, claim, mix
 
-BITS, BLOCK, STRIDE = 23, 1 << 17, 1 << 20
+BITS, BLOCK, STRIDE, HELD = 24, 1 << 17, 1 << 20, 300_000
 CUT = b"A"  # stands between pieces: no word holds a capital A
 _READ = bytes.maketrans(b".,;:!?\n\v\f\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", CUT * 10 + b" abcdefghijklmnopqrstuvwxyz")
 _held = WordHash()
@@ -60,16 +60,21 @@ def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     yield from by.items()
 
 
+def _codes(lang: str, words: np.ndarray) -> np.ndarray:
+    """Numbers of a language's words, from their hashes; 0 stays 0."""
+    salt = U64(xxhash.xxh3_64_intdigest(lang.encode(), seed=1))  # another hash than words have
+    return np.where(words > 0, np.maximum(mix(words + salt) >> U64(1), U64(1)), U64(0)).view(np.int64)
+
+
 def _tokenized(lang: str, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Words and cuts of texts one after the other, and their numbers, in slices."""
-    salt = U64(xxhash.xxh3_64_intdigest(lang.encode(), seed=1))  # another hash than words have
     read = (b" " + CUT + b" ").join(t.translate(_READ).replace(CUT, b" " + CUT + b" ") for t in texts)
     for part in slices(read):
         claim(_held)
         _held[CUT] = 0
         words = part.split()
         h = np.fromiter(map(_held.__getitem__, words), np.uint64, len(words))
-        yield words, np.where(h > 0, np.maximum(mix(h + salt) >> U64(1), U64(1)), U64(0)).view(np.int64)
+        yield words, _codes(lang, h)
 
 
 def _pairs(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,22 +88,32 @@ _SEEN_SQL = "lang string, word string, k long, n long, block int, counts binary"
 
 
 def _counted(texts: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
-    """Words of each batch with their counts (block is null), and blocks of each task's pair counters, which stop at 255."""
+    """Words of each task with their counts (block is null; a word may be there again when a task has many), and blocks of each task's pair counters, which stop at 255."""
+
+    def rows(held: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        for lang, n in held.items():
+            k = _codes(lang, np.fromiter(map(_held.__getitem__, n), np.uint64, len(n)))
+            yield batch(_SEEN, [[lang] * len(n), [w.decode("utf-8", "replace") for w in n], k, list(n.values()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())])
+        held.clear()
 
     def count(batches):
         counters = np.zeros(1 << bits, np.uint8)
+        held: dict[str, dict[bytes, int]] = {}  # words of a task, given out when they are many
         for b in batches:
             for lang, read in _by_language(b):
                 before = np.zeros(1, np.int64)  # the last word of the slice before
+                own = held.setdefault(lang, {})
                 for words, codes in _tokenized(lang, read):
                     k, at, n = np.unique(codes, return_index=True, return_counts=True)
-                    k, at, n = k[k > 0], at[k > 0], n[k > 0]
-                    if len(k):
-                        yield batch(_SEEN, [[lang] * len(k), [words[i].decode("utf-8", "replace") for i in at], k, n, pa.nulls(len(k), pa.int32()), pa.nulls(len(k), pa.binary())])
+                    for i, x in zip(at[k > 0].tolist(), n[k > 0].tolist(), strict=True):
+                        own[words[i]] = own.get(words[i], 0) + x
                     both, slot = _pairs(np.concatenate([before, codes]), bits)
                     slot, n = np.unique(slot[both], return_counts=True)
                     counters[slot] = np.minimum(counters[slot] + n, 255)
                     before = codes[-1:] if len(codes) else before
+            if sum(map(len, held.values())) > HELD:
+                yield from rows(held)
+        yield from rows(held)
         full = [i for i in range(len(counters) // BLOCK) if counters[i * BLOCK : (i + 1) * BLOCK].any()]
         if full:
             none = pa.nulls(len(full), pa.string())
