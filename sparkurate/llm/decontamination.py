@@ -213,8 +213,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, text_col:
                 spans, names = column["spans"].to_pylist(), column["items"].to_pylist()
                 row, place, which = _found(texts, w)
                 n = w.length[which]
-                own, first = np.unique(row, return_index=True)
-                for r, s, e in zip(own.tolist(), first, np.r_[first[1:], len(row)], strict=True):
+                edges = np.flatnonzero(np.diff(np.r_[-1, row, -1])) if len(row) else row  # where a row's places begin and end
+                for s, e in zip(edges[:-1], edges[1:], strict=True):
+                    r = int(row[s])
                     lit = np.zeros(len(texts[r]) + 1, np.int64)
                     np.add.at(lit, place[s:e], 1)
                     np.add.at(lit, place[s:e] + n[s:e], -1)
