@@ -100,11 +100,15 @@ def plain_collocations(rows, max_n, least, top, covered):
             n[lang] += len(w)
             f.update((lang, tuple(w[i : i + m])) for m in range(1, max_n + 1) for i in range(len(w) - m + 1))
     out = defaultdict(list)
-    long = {k: a for k, a in f.items() if len(k[1]) > 2 and a >= least}
+    longer = Counter()
+    for (lang, q), b in f.items():
+        for s in range(len(q)):
+            for e in range(s + 2, len(q) + (s > 0)):
+                longer[lang, q[s:e]] = max(longer[lang, q[s:e]], b)
     for (lang, p), a in f.items():
         if len(p) < 2 or a < least:
             continue
-        if any(len(q) > len(p) and x == lang and 100 * b >= covered * a and any(q[i : i + len(p)] == p for i in range(len(q))) for (x, q), b in long.items()):
+        if longer[lang, p] >= least and 100 * longer[lang, p] >= covered * a:
             continue
         score, _, l, r = min(((2_000_000 * a) // (f[lang, p[:k]] + f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))
         out[lang].append((-score, -a, " ".join(p).encode(), l, r))
