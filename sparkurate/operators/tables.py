@@ -105,26 +105,64 @@ def merge_duplicates(tables: dict[str, DataFrame], key: str = "normalized_name",
     return out
 
 
+def chain_ends(moves: DataFrame) -> DataFrame:
+    """(id, end, stuck) for pointers moves(id, target_id), one of each id: where a chain of them ends; stuck: in a circle, which ends nowhere.
+
+    Pointers are doubled, so a chain of n takes about log2(n) joins; each step is read from a checkpoint.
+    """
+    now, most = moves.select("id", F.col("target_id").alias("end")), 1
+    n = now.count()
+    while True:
+        onward = now.join(moves.select(F.col("id").alias("end"), F.lit(True).alias("stuck")), "end", "left").select("id", "end", F.coalesce("stuck", F.lit(False)).alias("stuck"))
+        if most > n or not onward.where("stuck").take(1):  # no chain has more steps than there are pointers
+            return onward
+        after = now.select(F.col("id").alias("end"), F.col("end").alias("after"))
+        now = cut_lineage(now.join(after, "end", "left").select("id", F.coalesce("after", "end").alias("end")))
+        most *= 2
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df as a checkpoint in the folder of spark.checkpoint.dir; as it is where none is set."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        return df
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def apply_decisions(tables: dict[str, DataFrame], decisions: DataFrame) -> dict[str, DataFrame]:
     """Decisions(id, decision, target_id, canonical, aliases) applied to entries, aliases and items, with an audit.
 
     merge_into_existing and alias_to_existing move what refers to the source to the target, make its
-    name an alias (a typo or a synonym) and delete it; keep renames; the rest changes nothing.
+    name an alias (a typo or a synonym), add the decision's aliases and delete the source; keep renames;
+    the rest changes nothing. Where a target is moved itself, all goes to the end of the chain. Decisions
+    in a circle, and those whose source or target isn't there, are left to a human. Of several moves
+    of one entry the one with the smallest target is taken, the others are left to a human.
     """
     entries, aliases, items = tables["entries"], tables["aliases"], tables["items"]
-    moves = decisions.where(F.col("decision").isin("merge_into_existing", "alias_to_existing") & (F.col("id") != F.col("target_id"))).join(entries.select(F.col("id").alias("target_id")), "target_id", "left_semi")
+    there = entries.select("id")
+    asked = decisions.where(F.col("decision").isin("merge_into_existing", "alias_to_existing") & (F.col("id") != F.col("target_id")))
+    asked = asked.join(there, "id", "left_semi").join(there.select(F.col("id").alias("target_id")), "target_id", "left_semi")
+    one = first_by(asked.select("id", "target_id", "decision", "canonical", "aliases"), ["id"], [F.col("target_id"), F.col("decision"), F.col("canonical")])
+    ends = chain_ends(one.select("id", "target_id"))
+    to = ends.where("not stuck").select("id", "end")
+    moves = one.join(to, "id")
     keeps = decisions.where((F.col("decision") == "keep") & F.col("canonical").isNotNull()).select("id", F.col("canonical").alias("name"))
-    to = moves.select("id", "target_id")
     rename = update_from(entries, keeps, ["id"], ["name"])
     kind = F.when(F.col("decision") == "merge_into_existing", "typo").otherwise("synonym")
-    own = entries.join(moves.select("id", "target_id", kind.alias("alias_type")), "id").select(F.col("target_id").alias("id"), F.col("name").alias("alias"), "alias_type")
-    given = decisions.select(F.coalesce("target_id", "id").alias("id"), F.explode("aliases").alias("alias")).withColumn("alias_type", F.lit("synonym"))
-    moved = aliases.join(to, "id", "left").withColumn("id", F.coalesce("target_id", "id")).select(aliases.columns)
-    audit = decisions.join(entries.select("id", F.col("name").alias("before")), "id", "left").select("id", "decision", F.to_json(F.struct("before")).alias("before"), F.to_json(F.struct("target_id", "canonical")).alias("after"))
+    own = entries.join(moves.select("id", "end", kind.alias("alias_type")), "id").select(F.col("end").alias("id"), F.col("name").alias("alias"), "alias_type")
+    given = moves.select(F.col("end").alias("id"), F.explode("aliases").alias("alias")).withColumn("alias_type", F.lit("synonym"))
+    moved = aliases.join(to, "id", "left").withColumn("id", F.coalesce("end", "id")).select(aliases.columns)
+    taken = moves.select("id", "target_id", "decision", F.lit("applied").alias("_s")).distinct()
+    status = F.coalesce("_s", F.when(F.col("decision") == "keep", "kept").otherwise("pending_human"))
+    audit = decisions.join(taken, ["id", "target_id", "decision"], "left").join(entries.select("id", F.col("name").alias("before")), "id", "left")
+    audit = audit.select("id", "decision", status.alias("status"), F.to_json(F.struct("before")).alias("before"), F.to_json(F.struct("target_id", "canonical")).alias("after"))
     return {
         "entries": delete_using(rename, moves, ["id"]),
-        "aliases": insert_missing(moved.dropDuplicates(["id", "alias"]), own.unionByName(given), ["id", "alias"], ["alias_type"]),
-        "items": items.join(to, "id", "left").withColumn("id", F.coalesce("target_id", "id")).select(items.columns),
+        "aliases": insert_missing(first_by(moved, ["id", "alias"], [F.col("alias_type")]).select(aliases.columns), own.unionByName(given), ["id", "alias"], ["alias_type"]),
+        "items": items.join(to, "id", "left").withColumn("id", F.coalesce("end", "id")).select(items.columns),
         "audit": audit,
     }
 

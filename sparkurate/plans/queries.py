@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 from ..functions import text as tx
 from ..functions import web
-from ..functions.labels import tokenize_label
 from ..operators import formulas, lists, matching, policy, tables
 from ..streaming import queue
 
@@ -492,16 +491,6 @@ def json_props_extract(spark, d):
     return e.groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"), F.count_if(F.get_json_object("props", "$.none").isNull()).alias("n"))
 
 
-@query()
-def tokenize_v1(spark, d):
-    return read(spark, d, "documents").select("doc_id", tokenize_label("text", "v1").alias("tokens"))
-
-
-@query()
-def tokenize_v2(spark, d):
-    return read(spark, d, "documents").select("doc_id", tokenize_label("text", "v2").alias("tokens"))
-
-
 @query()
 def bidirectional_coverage(spark, d):
     names = lines(spark, d).join(read(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))

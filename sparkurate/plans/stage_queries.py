@@ -287,11 +287,13 @@ def rejected_submissions(spark, d):
 
 
 @query(
-    f"""WITH {LINES}, n AS (SELECT l_orderkey AS product_id, position, p_name AS name, p_type AS f FROM lines JOIN part ON p_partkey = l_partkey WHERE position <= 3) SELECT product_id, string_agg(name || ':' || f, '|' ORDER BY position) AS context FROM n GROUP BY 1"""
+    f"""WITH {LINES}, n AS (SELECT l_orderkey AS product_id, position, p_name AS name, CASE WHEN p_size % 2 = 0 THEN p_type ELSE '' END AS f FROM lines JOIN part ON p_partkey = l_partkey WHERE l_partkey % 3 > 0),
+    k AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY position) AS k FROM n) SELECT product_id, string_agg(name || ':' || f, '|' ORDER BY position) AS context FROM k WHERE k <= 3 GROUP BY 1"""
 )
 def description_context(spark, d):
-    items = lines(spark, d).select(F.col("l_orderkey").alias("product_id"), "position", F.col("l_partkey").alias("id"))
-    entries = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.array("p_type").alias("functions"))
+    matched = F.when(F.col("l_partkey") % 3 > 0, F.col("l_partkey"))  # the others have no entry yet
+    items = lines(spark, d).select(F.col("l_orderkey").alias("product_id"), "position", matched.alias("id"))
+    entries = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 2 == 0, F.array("p_type")).alias("functions"))
     out = submissions.description_context(items, entries, most=3)
     return out.select("product_id", F.array_join(F.transform("ingredients", lambda x: F.concat(x["name"], F.lit(":"), F.array_join(x["functions"], ","))), "|").alias("context"))
 
@@ -371,7 +373,7 @@ def seeded_aliases(spark, d):
     return seed.seed_taxonomy(taxonomy(spark, d))["aliases"].select("id", "alias", "language", "alias_type")
 
 
-PRODUCTS = """p AS (SELECT o_orderkey AS barcode, 'Product ' || (o_orderkey // 2) AS name, CASE WHEN o_custkey % 7 = 0 THEN ' ; ' ELSE c_name || ', other' END AS brand, string_agg(CASE WHEN l_partkey % 50 = 0 THEN 'Unknown stuff' ELSE p_name END, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS label FROM orders JOIN customer ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY ALL)"""
+PRODUCTS = """p AS (SELECT o_orderkey AS barcode, 'Product ' || (o_orderkey % 5) AS name, CASE WHEN o_custkey % 7 = 0 THEN ' ; ' ELSE c_name || ', other' END AS brand, string_agg(CASE WHEN l_partkey % 50 = 0 THEN 'Unknown stuff' ELSE p_name END, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS label FROM orders JOIN customer ON c_custkey = o_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey GROUP BY ALL)"""
 
 
 def products(spark, d) -> DataFrame:
@@ -381,21 +383,24 @@ def products(spark, d) -> DataFrame:
     l = met.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(label.alias("label"))
     o = read(spark, d, "orders").join(read(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(l, "o_orderkey")
     brand = F.when(F.col("o_custkey") % 7 == 0, " ; ").otherwise(F.concat("c_name", F.lit(", other")))
-    return o.select(F.col("o_orderkey").alias("barcode"), F.concat(F.lit("Product "), F.floor(F.col("o_orderkey") / 2).cast("string")).alias("name"), brand.alias("brand"), F.col("label").alias("ingredients_text"))
+    return o.select(F.col("o_orderkey").alias("barcode"), F.concat(F.lit("Product "), (F.col("o_orderkey") % 5).cast("string")).alias("name"), brand.alias("brand"), F.col("label").alias("ingredients_text"))
 
 
-SEEDED = f"""{PRODUCTS}, m AS (SELECT *, split_part(brand, ',', 1) AS maker FROM p WHERE brand <> ' ; '), g AS (SELECT *, trim(regexp_replace(lower(maker || ' ' || name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM m), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY barcode) AS k FROM g) WHERE k = 1),
-    i AS (SELECT slug, unnest(string_split(label, ', ')) AS token, generate_subscripts(string_split(label, ', '), 1) AS position FROM f WHERE NOT contains(label, 'Unknown')), x AS (SELECT {norm('p_name')} AS term, min(p_partkey) AS id FROM part GROUP BY 1)"""
+#: A slug's first product whose label resolves, not its first product.
+SEEDED = f"""{PRODUCTS}, m AS (SELECT *, split_part(brand, ',', 1) AS maker FROM p WHERE brand <> ' ; '), g AS (SELECT *, trim(regexp_replace(lower(maker || ' ' || name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM m),
+    x AS (SELECT {norm('p_name')} AS term, min(p_partkey) AS id FROM part GROUP BY 1), t AS (SELECT slug, barcode, unnest(string_split(label, ', ')) AS token, generate_subscripts(string_split(label, ', '), 1) AS position FROM g),
+    r AS (SELECT t.*, id FROM t LEFT JOIN x ON term = {norm('token')}), w AS (SELECT slug, barcode FROM r GROUP BY 1, 2 HAVING count(*) = count(id)),
+    f AS (SELECT slug, min(barcode) AS barcode FROM w GROUP BY 1)"""
 
 
-@query(f"WITH {SEEDED} SELECT slug, position::BIGINT AS position, id FROM i JOIN x ON term = {norm('token')}")
+@query(f"WITH {SEEDED} SELECT slug, position::BIGINT AS position, id FROM r JOIN f USING (slug, barcode)")
 def seeded_items(spark, d):
     index = read(spark, d, "part").groupBy(tx.inci_normalize("p_name").alias("term")).agg(F.min("p_partkey").alias("id"))
     out = seed.seed_products(products(spark, d), index, spark.createDataFrame([], "slug string"))
     return out["items"].select("slug", F.col("position").cast("long").alias("position"), "id")
 
 
-@query(f"WITH {SEEDED} SELECT slug, name, barcode, upper(trim(maker)) AS brand FROM f WHERE slug IN (SELECT slug FROM i)")
+@query(f"WITH {SEEDED} SELECT slug, name, barcode, upper(trim(maker)) AS brand FROM g JOIN f USING (slug, barcode)")
 def seeded_products(spark, d):
     index = read(spark, d, "part").groupBy(tx.inci_normalize("p_name").alias("term")).agg(F.min("p_partkey").alias("id"))
     return seed.seed_products(products(spark, d), index, spark.createDataFrame([], "slug string"))["products"]
@@ -554,18 +559,29 @@ def source_evidence(spark, d):
 
 
 @query(
-    """WITH e AS (SELECT c_custkey AS id, c_name AS name FROM customer), k AS (SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'merge_into_existing' WHEN 1 THEN 'alias_to_existing' WHEN 2 THEN 'keep' ELSE 'needs_human' END AS decision, CASE WHEN c_custkey % 4 < 2 THEN c_custkey + 2 END AS target, CASE WHEN c_custkey % 4 = 2 THEN c_name || ' new' END AS canonical FROM customer),
-    m AS (SELECT id, target FROM k WHERE decision IN ('merge_into_existing', 'alias_to_existing') AND target IN (SELECT id FROM e))
-    SELECT e.id, coalesce(canonical, name) AS name, (SELECT count(*) FROM orders WHERE coalesce((SELECT target FROM m WHERE m.id = o_custkey), o_custkey) = e.id) AS n_items FROM e LEFT JOIN k USING (id) WHERE e.id NOT IN (SELECT id FROM m)"""
+    """WITH RECURSIVE e AS (SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer),
+    k AS (SELECT id, name, CASE id % 4 WHEN 0 THEN 'merge_into_existing' WHEN 1 THEN 'alias_to_existing' WHEN 2 THEN 'keep' ELSE 'needs_human' END AS decision, CASE WHEN id % 20 = 5 THEN id - 1 WHEN id % 4 = 0 THEN id + 1 WHEN id % 4 = 1 THEN id + 2 END AS target, CASE WHEN id % 4 = 2 THEN name || ' new' END AS canonical FROM e),
+    m AS (SELECT * FROM k WHERE id % 4 < 2 AND target IN (SELECT id FROM e)),
+    c(id, stop, steps) AS (SELECT id, target, 1 FROM m UNION ALL SELECT c.id, m.target, steps + 1 FROM c JOIN m ON m.id = c.stop WHERE steps < 10),
+    t AS (SELECT id, stop AS goal FROM c WHERE stop NOT IN (SELECT id FROM m)),
+    i AS (SELECT coalesce(goal, o_custkey) AS id, count(*) AS n_items FROM orders LEFT JOIN t ON t.id = o_custkey GROUP BY 1),
+    a AS (SELECT coalesce(goal, e.id) AS id, segment AS alias FROM e LEFT JOIN t USING (id) UNION SELECT goal, name FROM e JOIN t USING (id) UNION SELECT goal, name || ' aka' FROM e JOIN t USING (id) WHERE id % 3 = 0),
+    l AS (SELECT id, string_agg(alias, '|' ORDER BY alias) AS aliases FROM a GROUP BY 1)
+    SELECT k.id, CASE WHEN t.id IS NULL THEN coalesce(canonical, k.name) END AS name, CASE WHEN t.id IS NOT NULL THEN 'applied' WHEN decision = 'keep' THEN 'kept' ELSE 'pending_human' END AS status, coalesce(n_items, 0) AS n_items, coalesce(aliases, '') AS aliases FROM k LEFT JOIN t USING (id) LEFT JOIN i USING (id) LEFT JOIN l USING (id)"""
 )
 def applied_decisions(spark, d):
+    """Chains of two moves, circles of two, aliases of decisions that do and don't take effect; a row for each decision."""
     c, k = read(spark, d, "customer"), F.col("c_custkey")
     t = {"entries": c.select(k.alias("id"), F.col("c_name").alias("name")), "aliases": c.select(k.alias("id"), F.col("c_mktsegment").alias("alias"), F.lit("synonym").alias("alias_type")), "items": read(spark, d, "orders").select(F.col("o_custkey").alias("id"), "o_orderkey")}
     kind = F.when(k % 4 == 0, "merge_into_existing").when(k % 4 == 1, "alias_to_existing").when(k % 4 == 2, "keep").otherwise("needs_human")
-    decisions = c.select(k.alias("id"), kind.alias("decision"), F.when(k % 4 < 2, k + 2).alias("target_id"), F.when(k % 4 == 2, F.concat("c_name", F.lit(" new"))).alias("canonical"), F.array().cast("array<string>").alias("aliases"))
+    target = F.when(k % 20 == 5, k - 1).when(k % 4 == 0, k + 1).when(k % 4 == 1, k + 2)
+    given = F.when(k % 3 == 0, F.array(F.concat("c_name", F.lit(" aka")))).otherwise(F.array().cast("array<string>"))
+    decisions = c.select(k.alias("id"), kind.alias("decision"), target.alias("target_id"), F.when(k % 4 == 2, F.concat("c_name", F.lit(" new"))).alias("canonical"), given.alias("aliases"))
     out = tables.apply_decisions(t, decisions)
     n = out["items"].groupBy("id").agg(F.count("*").alias("n_items"))
-    return out["entries"].join(n, "id", "left").select("id", "name", F.coalesce("n_items", F.lit(0)).alias("n_items"))
+    names = out["aliases"].groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("alias")), "|").alias("aliases"))
+    rows = out["audit"].select("id", "status").join(out["entries"], "id", "left").join(n, "id", "left").join(names, "id", "left")
+    return rows.select("id", "name", "status", F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("aliases", F.lit("")).alias("aliases"))
 
 
 @query(
@@ -647,9 +663,9 @@ def last_answers(spark, d):
     return read(spark, d, "events").select("event_id", submissions.answer_text(content, kind).alias("answer"))
 
 
-@query("WITH s AS (SELECT DISTINCT c_mktsegment AS brand, 'n' || (c_custkey % 10) AS name FROM customer) SELECT brand, name, 'received' AS status, 0::BIGINT AS attempt_count, count(*)::BIGINT AS n FROM s GROUP BY 1, 2")
+@query("SELECT c_mktsegment AS brand, 'n' || (c_custkey % 10) AS name, 'received' AS status, 0::BIGINT AS attempt_count, count(*)::BIGINT AS n, count(*)::BIGINT AS ids FROM customer GROUP BY 1, 2")
 def inserted_submissions(spark, d):
     empty = spark.createDataFrame([], "id string, brand string, name string, ingredients string, submitted_by string, status string, attempt_count int, created_at timestamp")
     new = read(spark, d, "customer").select(F.col("c_mktsegment").alias("brand"), F.concat(F.lit("n"), F.col("c_custkey") % 10).alias("name"), F.lit("water").alias("ingredients"), F.lit(None).cast("string").alias("submitted_by"))
     out = submissions.new_submissions(empty, new, F.lit(AGE_NOW).cast("timestamp"))
-    return out.groupBy("brand", "name", "status", F.col("attempt_count").cast("long").alias("attempt_count")).agg(F.count("*").alias("n"))
+    return out.groupBy("brand", "name", "status", F.col("attempt_count").cast("long").alias("attempt_count")).agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"))

@@ -18,6 +18,12 @@ from ..operators.tables import insert_missing, latest
 DONE = ("matched", "new_ingredient", "junk")
 
 
+def _hashed(*parts: Column | str) -> Column:
+    """SHA-256 of the parts, told apart whatever they hold; null isn't the empty text."""
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    return F.sha2(F.to_json(F.array(*[F.struct(t.alias("v")) for t in texts])), 256)
+
+
 def apply_submissions(tables: dict[str, DataFrame], submissions: DataFrame, tokens: DataFrame, actor: str = "system") -> dict[str, DataFrame]:
     """Decided submissions as new brands, entries, aliases, products and items, with their new states and an audit.
 
@@ -28,7 +34,7 @@ def apply_submissions(tables: dict[str, DataFrame], submissions: DataFrame, toke
     hashes of what they stand for, so that a second run makes the same rows.
     """
     ready = submissions.where("status = 'decision_ready'")
-    made_id = lambda *c: F.substring(F.sha2(F.concat_ws("|", *c), 256), 1, 32)
+    made_id = lambda *c: F.substring(_hashed(*c), 1, 32)
     state = tokens.groupBy("id").agg(F.every(F.col("resolution").isin(*DONE)).alias("decided"), F.count_if(F.col("resolution") != "junk").alias("kept"))
     known = identity_match(ready.select(F.col("id").alias("input"), "brand", "name"), tables["products"]).select(F.col("input").alias("id"), F.col("product_id").alias("existing"))
     judged = ready.join(state, "id", "left").join(known, "id", "left")
@@ -63,10 +69,14 @@ def entry_slug(name: Column | str) -> Column:
 
 
 def description_context(items: DataFrame, entries: DataFrame, most: int = 15) -> DataFrame:
-    """(product_id, ingredients): the first entries of each product by position, with their functions array."""
-    first = items.where(F.col("position") <= most).join(entries.select("id", "name", "functions"), "id")
+    """(product_id, ingredients): the first `most` matched items of each product by position, with their functions array (empty if unknown).
+
+    Items without an entry don't count. Items at one position are in the order of their names.
+    """
+    functions = F.coalesce("functions", F.array().cast("array<string>")).alias("functions")
+    met = items.join(entries.select("id", "name", functions), "id")
     l = F.array_sort(F.collect_list(F.struct("position", "name", "functions")))
-    return first.groupBy("product_id").agg(l.alias("ingredients"))
+    return met.groupBy("product_id").agg(F.slice(l, 1, most).alias("ingredients"))
 
 
 def review_detail(submissions: DataFrame, tokens: DataFrame, entries: DataFrame, log: DataFrame, domains: DataFrame, products: DataFrame) -> DataFrame:
@@ -99,7 +109,7 @@ def list_difference(label: Column | str, online: Column | str) -> Column:
 
 def request_id(*parts: Column) -> Column:
     """A stable id of at most 64 characters for a request of a batch."""
-    return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 64)
+    return F.substring(_hashed(*parts), 1, 64)
 
 
 RUNS = "run_id string, stage string, status string, started_at timestamp, ended_at timestamp, counters map<string,long>, error string"
@@ -129,10 +139,14 @@ def last_success(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_submissions(table: DataFrame, new: DataFrame, now: Column) -> DataFrame:
-    """table(id, brand, name, ingredients, submitted_by, status, attempt_count, created_at) and new(brand, name, ingredients, submitted_by) ones as received; their ids are hashes of all they say."""
-    parts = [F.coalesce(c, F.lit("")) for c in ("brand", "name", "ingredients", "submitted_by")]
-    rows = new.select(F.substring(F.sha2(F.concat_ws("|", *parts, now.cast("string")), 256), 1, 32).alias("id"), "brand", "name", "ingredients", "submitted_by", F.lit("received").alias("status"), F.lit(0).alias("attempt_count"), now.alias("created_at"))
-    return insert_missing(table, rows, ["id"])
+    """table(id, brand, name, ingredients, submitted_by, status, attempt_count, created_at) and all new(brand, name, ingredients, submitted_by) ones as received.
+
+    Every row is a submission of its own, equal ones too: an id is the hash of what a row says, when, and its number.
+    """
+    parts = [F.col(c) for c in ("brand", "name", "ingredients", "submitted_by")]
+    made = F.substring(_hashed(*parts, now, F.monotonically_increasing_id()), 1, 32)
+    rows = new.select(made.alias("id"), *parts, F.lit("received").alias("status"), F.lit(0).alias("attempt_count"), now.alias("created_at"))
+    return table.unionByName(rows)
 
 
 def batch_requests(requests: DataFrame, longest: int = 64) -> tuple[DataFrame, DataFrame]:

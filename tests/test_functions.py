@@ -1,12 +1,16 @@
 """Literal cases of names, labels and similarities."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from sparkurate.functions import similarity as sim
 from sparkurate.functions import text as tx
 from sparkurate.functions import web
-from sparkurate.functions.labels import Tokenizer, list_section, tokenize_label
+from sparkurate.functions.labels import list_section, tokenize_label, tokenize_labels
+
+from .plain_labels import Tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -100,25 +104,35 @@ V2 = [
 
 @pytest.mark.parametrize("mode,cases", [("v1", V1), ("v2", V2)])
 def test_labels(spark, mode, cases):
-    for label, terms, want in cases:
-        got = spark.createDataFrame([(label,)], "l string").select(tokenize_label("l", mode, terms)).first()[0]
-        assert list(got) == want, label
-
-
-def test_tokenizer_keeps_what_it_is_given(spark):
-    """Random lists of plain names come back, in both versions."""
-    from hypothesis import given, settings
-    from hypothesis import strategies as st
-
-    names = st.lists(st.sampled_from(["Glycerin", "Citric Acid", "PEG-8 Dimethicone", "Mica", "Zinc Oxide"]), min_size=1, max_size=8)
-
-    @settings(max_examples=60, deadline=None)
-    @given(names, st.sampled_from([", ", "; ", "\n", " • "]))
-    def check(parts, sep):
-        for mode in ("v1", "v2"):
-            assert Tokenizer(mode)(sep.join(parts)) == parts
-
-    check()
+    for terms in {t for _, t, _ in cases}:
+        own = [(label, want) for label, t, want in cases if t == terms]
+        got = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(own)], "i int, l string").select("i", tokenize_label("l", mode, terms).alias("t")).collect()
+        assert {r.i: r.t for r in got} == {i: want for i, (_, want) in enumerate(own)}
+
+
+BITS = ["Aqua", "water", "Seed", "leaf", "seed oil", "fruit extract", "Oil", "C12-15 ALKYL BENZOATE", "1,2-Hexanediol", "(", "(CI 77891, CI 77491)", ")", "SHEA BUTTER", "glycerin", "Inactive Ingredients (shade x): ", "Active ingredients - ", "Ingredients:", "INCI ", "may contain x", "peut contenir: y", "Directions: rub", "°é ñ", "Ácido cítrico 5%", "Zinc 3.5 %", "\\ slash", "CETEARYL ALCOHOL GLYCERIN PARFUM", "a", "and", "Bañinci", "2,3", "citric", "acid", "* star", " -x-", "CAPRYLIC", "CAPRIC", "TRIGLYCERIDE", "lot 5", "\u00a0nb\u00a0sp", "\ufdd0", "日本"]
+
+
+@pytest.mark.parametrize("mode", ["v1", "v2"])
+def test_tokens_by_expression_and_token_by_token(spark, mode):
+    """Random labels: with a list of names, with a table of names, and one token after the other."""
+    r = random.Random(5)
+    seps = [", ", ",", ";", " · ", "•", "\n", " ", "\t", ". "]
+    labels = ["".join(r.choice(BITS) + r.choice(seps if i % 3 else [" ", ", "]) for _ in range(r.randrange(1, 14))) for i in range(1500)]
+    terms = ["zinc", "citric acid", "baninci", "aqua seed", "seed oil glycerin", "parfum", "water oil", "a b c d e f g h i"]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate([*labels, None, "", *labels[:5]])], "t string, tokens int").repartition(4)
+    met = tokenize_labels(df.withColumnRenamed("tokens", "i"), "t", spark.createDataFrame([(x,) for x in [*terms, terms[0], "", None]], "n string"), mode)
+    plain = Tokenizer(mode, terms)
+    rows = met.select("t", "tokens", tokenize_label("t", mode, terms).alias("listed"), F.coalesce(list_section("t", mode), F.lit("")).alias("s")).collect()
+    assert len(rows) == len(labels) + 7
+    for x in rows:
+        assert x.tokens == x.listed == plain(x.s), x.t
+
+
+def test_tokens_of_a_long_label(spark):
+    """100,000 parts in one label: no step is quadratic in them."""
+    text = "seed, oil, " * 25_000 + "niacinamide, citric, acid, " * 25_000
+    assert spark.createDataFrame([(text,)], "t string").select(F.size(tokenize_label("t"))).first()[0] == 75_000
     assert spark.createDataFrame([("How to use: x. INCI: Aqua",)], "l string").select(list_section("l")).first()[0] == "Aqua"
 
 

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from sparkurate.operators import tables
 from sparkurate.plans import seed, submissions
 from sparkurate.sources.files import read_taxonomy
 
@@ -70,3 +71,42 @@ def test_review_and_runs(spark, tmp_path):
     with pytest.raises(ValueError), submissions.recorded_run(spark, log, "seed"):
         raise ValueError("x")
     assert spark.read.parquet(log).count() == 2 and rows(submissions.last_success(spark, log), "stage") == [("seed",)]
+
+
+def test_rows_are_not_dropped(spark):
+    make = spark.createDataFrame
+    items = make([(1, 1, None), (1, 2, None), (1, 3, 7), (1, 4, 8), (1, 5, 9), (2, 1, None), (3, 16, 7), (3, 20, 99)], "product_id int, position int, id int")
+    entries = make([(7, "A", ["f"]), (8, "B", None), (9, "C", []), (10, "D", [])], "id int, name string, functions array<string>")
+    got = {r.product_id: [(x.name, x.functions) for x in r.ingredients] for r in submissions.description_context(items, entries, most=2).collect()}
+    assert got == {1: [("A", ["f"]), ("B", [])], 3: [("A", ["f"])]}
+
+    kinds = "id string, brand string, name string, ingredients string, submitted_by string, status string, attempt_count int, created_at timestamp"
+    new = make([("a", "b", "x", None)] * 3 + [("a|b", "c", "x", None), ("a", "b|c", "x", None), ("a", "b", "x", ""), (None, None, None, None)], "brand string, name string, ingredients string, submitted_by string").repartition(3)
+    now = F.lit("2026-01-01").cast("timestamp")
+    out = submissions.new_submissions(make([("z", "a", "b", "x", None, "done", 1, None)], kinds), new, now)
+    assert out.count() == 8 and out.select("id").distinct().count() == 8
+    ids = make([("a|b", "c"), ("a", "b|c"), ("a", None), ("a", "")], "a string, b string").select(submissions.request_id(F.col("a"), F.col("b")).alias("i")).distinct()
+    assert ids.count() == 4 and ids.where("length(i) = 64").count() == 4
+
+    products = make([("1", "Mist", "Lab", "Aqua, Unknown"), ("2", "Mist", "Lab", "Sea, Salt, Aqua"), ("3", "MIST", "lab", "Aqua"), (None, "Gel", "Lab", "Aqua"), ("9", "Gel", "Lab", ",")], "barcode string, name string, brand string, ingredients_text string")
+    index = make([("aqua", 1), ("sea salt", 2)], "term string, id int")
+    made = seed.seed_products(products, index, make([], "slug string"))
+    assert rows(made["products"], "slug", "barcode") == sorted([("lab-mist", "2"), ("lab-gel", None)], key=str)
+    assert rows(made["items"].where("slug = 'lab-mist'"), "position", "id") == [(1, 2), (2, 1)]
+
+
+def test_decisions_in_chains(spark):
+    make = spark.createDataFrame
+    n = 12
+    entries = make([(i, f"E{i}") for i in range(1, n + 1)] + [(20, "X"), (21, "Y"), (22, "Z"), (30, "P"), (31, "Q")], "id int, name string")
+    chain = [(i, "merge_into_existing" if i % 2 else "alias_to_existing", i + 1, None, [f"a{i}"]) for i in range(1, n)]
+    circle = [(20, "merge_into_existing", 21, None, []), (21, "merge_into_existing", 20, None, ["c"]), (22, "alias_to_existing", 20, None, [])]
+    rest = [(30, "delete", None, None, ["no"]), (31, "merge_into_existing", 99, None, ["no"]), (40, "merge_into_existing", 30, None, ["no"]), (1, "merge_into_existing", 30, None, ["no"])]
+    decisions = make(chain + circle + rest, "id int, decision string, target_id int, canonical string, aliases array<string>").repartition(3)
+    out = tables.apply_decisions({"entries": entries, "aliases": make([(1, "old", "typo"), (2, "old", "synonym"), (20, "keep", "typo")], "id int, alias string, alias_type string"), "items": make([(7, 1), (8, 5), (9, 20), (9, 30)], "product int, id int")}, decisions)
+    assert rows(out["entries"], "id") == [(12,), (20,), (21,), (22,), (30,), (31,)]
+    assert rows(out["items"]) == [(7, 12), (8, 12), (9, 20), (9, 30)]
+    want = [(12, f"E{i}", "typo" if i % 2 else "synonym") for i in range(1, n)] + [(12, f"a{i}", "synonym") for i in range(1, n)] + [(12, "old", "synonym"), (20, "keep", "typo")]
+    assert rows(out["aliases"]) == sorted(want)
+    left = {(r.id, r.status) for r in out["audit"].collect()}
+    assert left == {(i, "applied") for i in range(1, n)} | {(i, "pending_human") for i in (1, 20, 21, 22, 30, 31, 40)}
