@@ -18,9 +18,9 @@ Each pass shuffles one row per different digit of a batch: more occurrences in a
 other, and go past. So a passage that a third of all documents hold is a row per batch. Texts meet
 what was found about them in a join on the document, thinned out by a bitmap of ids.
 
-Rows are told apart by id and a hash of the text: null and repeated ids are defined, and count as
-documents of their own; so do repeated rows. Null texts are empty. Texts of fewer tokens than
-`depth` keep all their bytes.
+Rows are told apart by 96 bits of hashes of their id (null is one of its own) and whole text: rows with
+null and repeated ids are documents of their own, and so are repeated rows, which have one key and
+one result. Null texts are empty. Texts of fewer tokens than `depth` keep all their bytes.
 """
 
 from __future__ import annotations
@@ -232,7 +232,9 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
     tokens = byte_tokens if unit == "bytes" else word_tokens
     names = [f.name for f in docs.schema if f.name not in {id_col, text_col, *NEW}] if keep_text else []
     inner = [f"__{i}" for i in range(len(names))]  # no clash with what is made on the way
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    whole_text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row_key = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), whole_text)
+    texts = docs.select(row_key.alias("doc"), whole_text.alias("text"))
 
     def first(batches):
         for b in batches:
@@ -343,7 +345,7 @@ def removed_spans(docs: DataFrame, depth: int, unit: str = "bytes", id_col: str
             made[4] = [x.decode("utf-8", "replace") for x in made[4]]
         return batch(arrow, [*b.columns[:n_names], *made[: 5 if keep_text else 4]])
 
-    full = docs.select(*[F.col(f"`{n}`").alias(i) for n, i in zip((id_col, *names), kept.columns, strict=True)], F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("__doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    full = docs.select(*[F.col(f"`{n}`").alias(i) for n, i in zip((id_col, *names), kept.columns, strict=True)], row_key.alias("__doc"), whole_text.alias("text"))
 
     def untouched(batches):
         for b in batches:

@@ -387,6 +387,20 @@ def test_full_bins_lose_no_link():
     assert ngram_join.most_common(h, few)[0] == 100
 
 
+def test_substring_dedup_tells_rows_without_ids_apart(spark):
+    """Texts whose 32-bit hashes are equal, with null ids, or 0 and null: only what occurs again goes."""
+    import xxhash
+
+    texts = [{xxhash.xxh32_intdigest(t): t for i in range(200_000) for t in [base + b"%d" % i]} for base in (prose(61, 120).encode()[:600], prose(62, 120).encode()[:600])]
+    a, b = next((texts[0][h], texts[1][h]) for h in texts[0] if h in texts[1])
+    c = prose(63, 40).encode() + b" " + a[:550]
+    for ids in ((None, None, 5), (0, None, None), (0, 0, 0)):
+        rows = [(i, t.decode()) for i, t in zip(ids, (a, b, c), strict=True)]
+        got = substring_dedup.removed_spans(spark.createDataFrame(rows, "doc_id long, text string"), 400).collect()
+        want = [(i, len(t), n) for i, t, n in zip(ids, (a, b, c), (550, 0, 550), strict=True)]
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed) for r in got) == Counter(want)
+
+
 def test_substring_dedup_keeps_columns_with_clashing_names(odd):
     got = substring_dedup.removed_spans(odd.withColumn("n_bytes", F.lit("old")), 60, keep_text=True)
     assert got.columns == ["doc_id", "source", "n_chars", *[c for c in odd.columns[4:]], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
