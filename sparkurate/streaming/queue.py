@@ -41,9 +41,9 @@ def release_stale(rows: DataFrame, state: str, back_to: str, now: Column, minute
 
 
 def finalize(rows: DataFrame, results: DataFrame) -> DataFrame:
-    """rows with results(id, batch_id, status): only those of the batch that a row waits for, so a second delivery changes nothing."""
-    met = rows.join(results.select("id", F.col("batch_id").alias("_batch"), F.col("status").alias("_status")), "id", "left")
-    ok = F.coalesce((F.col("_batch") == F.col("batch_id")) & (F.col("status") == "submitted"), F.lit(False))
+    """rows with results(id, batch_id, status), one of each id and batch: only those of the batch that a row waits for, so a second delivery changes nothing."""
+    met = rows.join(results.select("id", "batch_id", F.col("status").alias("_status"), F.lit(True).alias("_met")), ["id", "batch_id"], "left")
+    ok = F.coalesce(F.col("_met") & (F.col("status") == "submitted"), F.lit(False))
     return met.withColumns({"status": F.when(ok, F.col("_status")).otherwise(F.col("status")), "batch_id": F.when(~ok, F.col("batch_id"))}).select(rows.columns)
 
 
