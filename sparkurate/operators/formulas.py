@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.labels import let
 from ..functions.text import brand_key_sql, compare_key, inci_normalize, overlap_alternatives
 
 
@@ -89,50 +89,52 @@ def identity_match(inputs: DataFrame, products: DataFrame) -> DataFrame:
     return a.join(b, ["_b", "_n"]).groupBy("input").agg(F.min("product_id").alias("product_id"))
 
 
-def _pairing(left: list, right: list) -> list[int]:
-    """For each entry of left the first entry of right that isn't taken and shares a spelling, or -1."""
-    free = {i: set(x) for i, x in enumerate(right)}
-    out = []
-    for spellings in left:
-        hit = next((i for i, x in free.items() if not x.isdisjoint(spellings)), -1)
-        free.pop(hit, None)
-        out.append(hit)
-    return out
+def _fitting(entry: Column, right: Column, used: Column) -> Column:
+    """Places of right that aren't used and share a spelling with an entry, ascending."""
+    places = F.transform(right, lambda x, i: F.when(F.arrays_overlap(entry, x), i))
+    return F.filter(places, lambda i: i.isNotNull() & ~F.array_contains(used, i))
 
 
-def _coverage(left: pd.Series, right: pd.Series) -> pd.DataFrame:
-    rows = []
-    for a, b in zip(left, right, strict=True):
-        hits = sum(i >= 0 for i in _pairing(list(a), list(b))) if a is not None and b is not None else 0
-        rows.append((hits / len(a), hits / len(b)) if hits else (0.0, 0.0))
-    return pd.DataFrame(rows, columns=["left", "right"])
+def first_fits(left: Column, right: Column) -> Column:
+    """For each entry of left (arrays of spellings) the first entry of right that isn't taken and shares a spelling, or -1; a fold from left to right."""
+    take = lambda used, x: F.concat(used, F.array(F.coalesce(F.get(_fitting(x, right, used), 0), F.lit(-1))))
+    return F.aggregate(left, F.array().cast("array<int>"), take)
+
+
+def _spelled(names: Column | str) -> Column:
+    names = F.col(names) if isinstance(names, str) else names
+    return F.transform(names, lambda x: F.coalesce(overlap_alternatives(x), F.array().cast("array<string>")))
 
 
 def coverage(submitted: Column | str, online: Column | str) -> Column:
-    """Shares of two lists of entries that pair off one to one, first fit from the left: struct<left, right>."""
-    return F.pandas_udf(_coverage, "left double, right double")(*(F.transform(F.col(c) if isinstance(c, str) else c, overlap_alternatives) for c in (submitted, online)))
+    """Shares of two lists of entries that pair off one to one, first fit from the left: struct<left, right>; 0 where one is null or empty."""
+
+    def shares(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+        hits = F.size(F.filter(first_fits(a, b), lambda i: i >= 0))
+        share = lambda x: F.coalesce(F.when((F.size(a) > 0) & (F.size(b) > 0), hits / F.size(x)), F.lit(0.0))
+        return F.struct(share(a).alias("left"), share(b).alias("right"))
+
+    return let(F.struct(_spelled(submitted).alias("a"), _spelled(online).alias("b")), shares)
 
 
 def donated_names(tokens: Column, unresolved: Column, online: Column, threshold: float = 0.9) -> Column:
     """Array of the online spelling for each token that is unresolved and fits exactly one unused entry, if the lists cover each other; else nulls."""
 
-    @F.pandas_udf("array<string>")
-    def donate(left: pd.Series, open_: pd.Series, right: pd.Series, names: pd.Series) -> pd.Series:
-        out = []
-        for a, o, b, n in zip(left, open_, right, names, strict=True):
-            got: list[str | None] = [None] * len(a)
-            hits = sum(i >= 0 for i in _pairing(list(a), list(b)))
-            if len(a) and len(b) and hits / len(a) >= threshold and hits / len(b) >= threshold:
-                free = dict(enumerate(map(set, b)))
-                for k in range(len(a)):
-                    fits = [i for i, x in free.items() if not x.isdisjoint(a[k])] if o[k] else []
-                    if len(fits) == 1:
-                        del free[fits[0]]
-                        got[k] = n[fits[0]].strip()
-            out.append(got)
-        return pd.Series(out)
-
-    return donate(F.transform(tokens, overlap_alternatives), unresolved, F.transform(online, overlap_alternatives), online)
+    def give(x: Column) -> Column:
+        def step(so_far: Column, i: Column) -> Column:
+            fits = F.when(F.get(x["open"], i), _fitting(F.get(x["a"], i), x["b"], so_far["used"]))
+            one = F.coalesce(F.size(fits) == 1, F.lit(False))
+            used = F.when(one, F.concat(so_far["used"], fits)).otherwise(so_far["used"])
+            return F.struct(used.alias("used"), F.concat(so_far["names"], F.array(F.when(one, F.btrim(F.get(x["names"], F.get(fits, 0)))))).alias("names"))
+
+        none = F.transform(x["a"], lambda _: F.lit(None).cast("string"))
+        places = F.transform(x["a"], lambda _, i: i)
+        start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<string>").alias("names"))
+        enough = lambda c: (c["left"] >= threshold) & (c["right"] >= threshold)
+        return F.when(enough(x["c"]), F.aggregate(places, start, step, lambda r: r["names"])).otherwise(none)
+
+    return let(F.struct(_spelled(tokens).alias("a"), _spelled(online).alias("b"), unresolved.alias("open"), online.alias("names"), coverage(tokens, online).alias("c")), give)
 
 
 def same_numbers(a: Column | str, b: Column | str) -> Column:

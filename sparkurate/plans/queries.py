@@ -491,14 +491,6 @@ def json_props_extract(spark, d):
     return e.groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k"), F.count_if(F.get_json_object("props", "$.none").isNull()).alias("n"))
 
 
-@query()
-def bidirectional_coverage(spark, d):
-    names = lines(spark, d).join(read(spark, d, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    own = names.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("position", F.col("p_name").alias("v")))).alias("l"))
-    pair = own.select("l_orderkey", F.col("l.v").alias("a")).join(own.select((F.col("l_orderkey") - 1).alias("l_orderkey"), F.col("l.v").alias("b")), "l_orderkey")
-    return pair.select("l_orderkey", formulas.coverage("a", "b").alias("c")).select("l_orderkey", "c.left", "c.right")
-
-
 # --------------------------------------------------------------------------- queue
 
 QUEUE = "q AS (SELECT event_id AS id, CASE event_type WHEN 'view' THEN 'received' WHEN 'click' THEN 'verifying' WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'applied' ELSE 'submitted' END AS status, ts AS created_at, ts AS locked_at, ts AS updated_at, (value::INT % 5)::INT AS attempt_count FROM events)"

@@ -2,11 +2,13 @@
 
 import gzip
 import json
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from sparkurate.functions import text as tx
 from sparkurate.operators import formulas, lists, matching, policy, tables
 from sparkurate.sources import files, lookups
 from sparkurate.streaming import queue
@@ -59,6 +61,41 @@ def test_coverage(make):
     assert make([("CI 77891 x2", "ci-77891 (2)", "CI 77491 2")], "a string, b string, c string").select(formulas.same_numbers("a", "b"), formulas.same_numbers("a", "c")).first() == (True, False)
 
 
+def test_pairing_equals_plain_first_fit(make):
+    """Random lists with several spellings, repeats, nulls and empty names: first fit, entry by entry."""
+    r = random.Random(8)
+    words = ["Aqua", "eau", "Zinc", "zinc (water/x)", "x", "y/x", "", None, "(y)", "É", "e", "z y"]
+    lists = [[r.choice(words) for _ in range(r.randrange(7))] for _ in range(300)]
+    rows = [(i, lists[i], [r.random() < 0.6 for _ in lists[i]], lists[-1 - i] if i % 3 else lists[i][::-1]) for i in range(150)] + [(900, None, None, ["x"]), (901, ["x"], [True], None)]
+    df = make(rows, "i int, t array<string>, o array<boolean>, n array<string>")
+    alternatives = {x: set(got) for x, got in make([(w,) for w in words if w is not None], "w string").select("w", tx.overlap_alternatives("w")).collect()} | {None: set()}
+
+    def first_fit(a, b):
+        free, hits = list(range(len(b))), 0
+        for x in a:
+            hit = next((j for j in free if alternatives[x] & alternatives[b[j]]), None)
+            if hit is not None:
+                free.remove(hit)
+                hits += 1
+        return (hits / len(a), hits / len(b)) if a and b else (0.0, 0.0)
+
+    def donated(a, o, b):
+        if min(first_fit(a, b)) < 0.5:
+            return [None] * len(a)
+        free, out = list(range(len(b))), []
+        for x, open_ in zip(a, o, strict=True):
+            fits = [j for j in free if open_ and alternatives[x] & alternatives[b[j]]]
+            out.append(b[fits[0]].strip() if len(fits) == 1 else None)
+            free = [j for j in free if len(fits) != 1 or j != fits[0]]
+        return out
+
+    got = df.select("i", formulas.coverage("t", "n").alias("c"), formulas.donated_names(F.col("t"), F.col("o"), F.col("n"), 0.5).alias("d")).collect()
+    for x in got:
+        _, a, o, b = next(y for y in rows if y[0] == x.i)
+        assert tuple(x.c) == (first_fit(a, b) if a is not None and b is not None else (0.0, 0.0))
+        assert x.d == (donated(a, o, b) if a is not None and b is not None else None if a is None else [None])
+
+
 def test_lists(make):
     l = make([(1, 1, "a"), (1, 2, "b"), (1, 4, "a"), (2, 1, "x")], "g int, position int, token string")
     assert rows(lists.keep_best(l, "g", "token", [-F.col("position")]), "g", "position", "token") == [(1, 1, "a"), (1, 2, "b"), (2, 1, "x")]
