@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import let
 from ..functions.text import brand_key_sql, compare_key, inci_normalize, overlap_alternatives
+from .tables import cut_lineage
 
 
 def as_lists(rows: DataFrame, group: str, order: list[str], value: str) -> DataFrame:
@@ -47,6 +50,63 @@ def similar_bags(left: DataFrame, right: DataFrame, group: tuple[str, str], valu
     return pairs.join(bags[0], group[0]).join(bags[1], group[1]).select(*group, F.size(F.array_intersect("_bag_a", "_bag_b")).cast("long").alias("common"))
 
 
+def nearest_bags(left: DataFrame, right: DataFrame | None, group: tuple[str, str], value: str, least: float = 0.0, rounds: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """(left group, right group, similarity): for each bag the most similar one that shares an entry, ties to the smallest group; no threshold is needed.
+
+    Similarity is common / larger size, and at least `least`. Without right, bags of left meet each other, and not
+    themselves. Entries are ordered as in similar_bags(). Bags that share one entry are met through the two smallest
+    groups of each entry and size, so a frequent entry has a short list, and give a first bound. Bags that share more
+    have two entries in common within their prefixes: a round looks at similarities above its own, and above the best
+    that is known, by pairs of entries. What it finds is final; only bags whose best is below go on to the next, with
+    longer prefixes. Pairs are quadratic in the length of one bag only.
+    Nulls count for a bag's size only; a bag of nothing else, and rows without a group, have no row.
+    """
+    g, h = group
+
+    def numbered(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        entries = rows.groupBy(key, value).agg(F.count("*").alias("_n"))
+        each = entries.where(F.col(value).isNotNull()).select(F.col(key), F.col(value).alias("_v"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_k"))
+        return each.select(F.col(key).alias("_g"), "_v", "_k"), entries.groupBy(F.col(key).alias("_g")).agg(F.sum("_n").alias("_size"))
+
+    sides = [numbered(left, g)] if right is None else [numbered(left, g), numbered(right, h)]
+    held = reduce(DataFrame.unionAll, [each for each, _ in sides]).groupBy("_v", "_k").agg(F.count("*").alias("_df"))
+    bags = [cut_lineage(each.join(held, ["_v", "_k"]).groupBy("_g").agg(F.array_sort(F.collect_list(F.struct("_df", "_v", "_k"))).alias("_bag")).join(sizes, "_g")) for each, sizes in sides]
+    lists = [b.toDF(key, bag, n) for b, key, bag, n in zip([bags[0], bags[-1]], group, ("_x", "_y"), ("_a", "_b"), strict=True)]
+    apart = F.col(g) != F.col(h) if right is None else F.lit(True)
+
+    def best(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy(g).agg(F.min(F.struct(-F.col("similarity"), F.col(h))).alias("_m")).select(g, F.col("_m").getField(h).alias(h), (-F.col("_m.col1")).alias("similarity"))
+
+    order = Window.partitionBy("_e", "_b").orderBy(h)
+    few = lists[1].select(h, "_b", F.explode("_y").alias("_e")).withColumn("_i", F.row_number().over(order)).where(F.col("_i") <= 2)
+    heads = few.groupBy("_e").agg(F.array_sort(F.collect_list(F.struct("_b", h))).alias("_h"))
+    # of larger bags only those of smaller groups than all but one of the smaller bags can be the best
+    heads = heads.withColumn("_h", F.filter("_h", lambda x, i: F.size(F.filter(F.slice("_h", 1, i), lambda y: y[h] < x[h])) < 2))
+    met = lists[0].select(g, "_a", F.explode("_x").alias("_e")).join(heads, "_e").select(g, "_a", F.explode("_h").alias("_h")).select(g, F.col("_h").getField(h).alias(h), (1 / F.greatest("_a", "_h._b")).alias("similarity"))
+    known = cut_lineage(best(met.where(apart & (F.col("similarity") >= least))))
+
+    def heads_of(bags: DataFrame, bag: str, size: str, at_least: Column, keep: list[str | Column]) -> DataFrame:
+        """Hashes of the pairs of entries of a prefix that bags with at_least * size common entries share one of."""
+        common = F.greatest(F.lit(2), F.ceil(F.col(size) * at_least - 1e-9))
+        prefix = F.slice(bag, F.lit(1), F.greatest(F.lit(0), F.size(bag) - common + 2).cast("int"))
+        firsts = bags.select(*keep, prefix.alias("_p")).select("*", F.posexplode("_p").alias("_i", "_x"))
+        return firsts.withColumn("_y", F.explode(F.slice("_p", F.col("_i") + 2, F.size("_p")))).withColumn("_e", F.xxhash64("_x", "_y")).drop("_p", "_i", "_x", "_y")
+
+    final = None  # what an earlier round has found at or above its similarity
+    for t in [*[r for r in sorted(rounds, reverse=True) if r > least], least]:
+        open_ = lists[0].join(known, g, "left")
+        open_ = open_ if final is None else open_.where(F.coalesce("similarity", F.lit(0.0)) < final)
+        final = t
+        bound = F.greatest(F.lit(float(t)), F.coalesce("similarity", F.lit(0.0)))
+        one = heads_of(open_, "_x", "_a", bound, [g, "_a", bound.alias("_t")])
+        two = heads_of(lists[1], "_y", "_b", F.lit(float(t)), [h, "_b"])
+        near = F.least("_a", "_b") >= F.greatest("_a", "_b") * F.col("_t") - 1e-9
+        pairs = one.join(two, "_e").where(apart & near).select(g, h).distinct().join(lists[0], g).join(lists[1], h)
+        pairs = pairs.select(g, h, (F.size(F.array_intersect("_x", "_y")) / F.greatest("_a", "_b")).alias("similarity")).where(F.col("similarity") >= least)
+        known = cut_lineage(best(known.unionByName(pairs)))
+    return known
+
+
 def resolve_tokens(tokens: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
     """tokens(input, position, token) with `id` if exactly one catalog entry has that name or alias."""
     terms = catalog.select(inci_normalize("name").alias("term"), "id").union(aliases.select(inci_normalize("alias"), "id")).distinct()

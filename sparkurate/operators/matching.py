@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
+from ..functions.labels import let
 from ..functions.text import inci_normalize, normalize_name
 
 
@@ -98,18 +99,31 @@ def spelling_candidates(sources: DataFrame, targets: DataFrame, least: float = 0
     return pairs.withColumn("score_margin", F.when(F.col("rank") == 1, F.col("similarity") - F.coalesce("_next", F.lit(0.0)))).drop("_next")
 
 
+def _ordered_pairs(name: Column) -> Column:
+    """Pairs of letters of a normalized name, one somewhere before the other; as the first of one stands before the last of the other, at most 37 x 37."""
+    letters = F.array_distinct(F.filter(F.split(name, ""), lambda x: x != ""))
+    ends = F.transform(letters, lambda x: F.struct(x.alias("l"), F.call_function("locate", x, name).alias("first"), (F.length(name) + 1 - F.call_function("locate", x, F.reverse(name))).alias("last")))
+    pairs = lambda e: F.flatten(F.transform(e, lambda x: F.transform(F.filter(e, lambda y: x["first"] < y["last"]), lambda y: F.concat(x["l"], y["l"]))))
+    return let(ends, lambda e: F.concat(pairs(e), letters))
+
+
 def rank_matches(catalog: DataFrame, queries: DataFrame, limit: int = 12) -> DataFrame:
     """(query, id, name, confidence, rank): the best `limit` of catalog(id, name) for each query typed.
 
-    A name that a query fits has all its letters, so a query meets the names with the letter of its own
-    that the fewest names have.
+    A name that a query fits has all neighboring letters of the query in that order, other letters between them
+    or not, so a query meets the names with the pair of its own that the fewest names have; a query of one
+    letter those with that letter. Only pairs that queries have are indexed. Queries or names without letters,
+    and null ones, have no rows.
     """
-    letters = lambda c: F.array_distinct(F.filter(F.split(normalize_name(c), ""), lambda x: ~x.isin("", " ")))
-    held = catalog.select("id", "name", F.explode(letters("name")).alias("_letter"))
-    counts = held.groupBy("_letter").agg(F.count("*").alias("_n"))
-    typed = queries.select(F.col(queries.columns[0]).alias("query")).distinct().select("query", F.explode(letters("query")).alias("_letter"))
-    rarest = typed.join(counts, "_letter", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_letter")).alias("_l")).select("query", F.col("_l._letter").alias("_letter"))
-    scored = rarest.join(held, "_letter").drop("_letter").withColumn("confidence", sim.search_score("query", "name")).where("confidence is not null")
+    q = normalize_name("query")
+    near = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(q) - 1)), lambda i: F.substr(q, i, F.lit(2)))
+    typed = queries.select(F.col(queries.columns[0]).alias("query")).where("query is not null").distinct().where(q != "").select("query", F.explode(F.array_distinct(near)).alias("_pair"))
+    wanted = typed.select("_pair").distinct()  # of letters, digits and blanks: 37 + 37 x 37 rows at most
+    held = catalog.select("id", "name", F.explode(_ordered_pairs(normalize_name("name"))).alias("_pair")).join(F.broadcast(wanted), "_pair")
+    counts = held.groupBy("_pair").agg(F.count("*").alias("_n"))
+    met = typed.join(F.broadcast(counts), "_pair", "left")  # as many rows as wanted at most
+    rarest = met.groupBy("query").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_pair")).alias("_p")).select("query", F.col("_p._pair").alias("_pair"))
+    scored = rarest.join(held, "_pair").drop("_pair").withColumn("confidence", sim.search_score("query", "name")).where("confidence is not null")
     order = Window.partitionBy("query").orderBy(F.desc(F.round("confidence", 9)), "name", "id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).select("query", "id", "name", "confidence", "rank")
 

@@ -95,12 +95,9 @@ def dice(a: str, b: str) -> str:
     SELECT input, product_id, round(s, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY input ORDER BY s DESC, product_id) AS k FROM scored WHERE s >= 0.25) WHERE k = 1"""
 )
 def formula_topk(spark, d):
-    items = lines(spark, d)
-    sizes = items.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    pairs = formulas.bag_overlap(items.withColumnRenamed("l_orderkey", "input"), items.withColumnRenamed("l_orderkey", "product_id"), ("input", "product_id"), "l_partkey").where("input <> product_id")
-    pairs = pairs.join(sizes.select(F.col("l_orderkey").alias("input"), F.col("n").alias("a")), "input").join(sizes.select(F.col("l_orderkey").alias("product_id"), F.col("n").alias("b")), "product_id")
-    scored = pairs.withColumn("similarity", F.col("common") / F.greatest("a", "b")).where("similarity >= 0.25")
-    return matching.first_by(scored.select("input", "similarity", "product_id"), ["input"], [-F.col("similarity"), F.col("product_id")]).select("input", "product_id", F.round("similarity", 6).alias("similarity"))
+    items = read(spark, d, "lineitem").withColumnRenamed("l_orderkey", "input")
+    near = formulas.nearest_bags(items, None, ("input", "product_id"), "l_partkey", least=0.25)
+    return near.select("input", "product_id", F.round("similarity", 6).alias("similarity"))
 
 
 @query(
