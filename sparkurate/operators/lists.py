@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.labels import let
 from .matching import first_by
 
 
@@ -80,12 +81,60 @@ def classify(rules: list[tuple[str, str]], c: Column | str, default: str | None
     return out
 
 
+_BREAK = "\x01"
+
+
+def required_literals(pattern: Column) -> Column:
+    """For each alternative of a Java regex its longest run of characters that a match must contain, in lower case; null where one has none or can't be read.
+
+    A run ends at escapes, classes, groups, quantifiers and anchors, so it may be shorter than what is required,
+    never longer. References, codes, quotations, and the flags x, u and U make a pattern unreadable.
+    """
+    p = F.regexp_replace(pattern, r"(?s)\\[pP](\{[^}]*\}|.)|\\.", _BREAK)
+    odd = pattern.rlike(r"\\[QExu0cNk1-9]|\(\?[a-zA-Z-]*[xuU]|[\x01]") | p.rlike(r"\[\^?\]")
+    p = F.regexp_replace(p, r"\[[^\[\]]*\]", _BREAK)
+    for _ in range(6):  # groups within groups
+        p = F.regexp_replace(p, r"\([^()]*\)", _BREAK)
+    odd = odd | p.rlike(r"[\[\]()]")
+    p = F.regexp_replace(p, r"\+[?+]?", _BREAK)
+    p = F.regexp_replace(p, r"(?s).(\?|\*|\{[^}]*\})[?+]?", _BREAK)
+    p = F.lower(F.regexp_replace(p, r"[.^$]|[^ -~]", _BREAK))
+    runs = lambda x: F.array_sort(F.filter(F.split(x, _BREAK), lambda r: r != ""), lambda u, v: F.length(v) - F.length(u))
+    longest = F.transform(F.split(p, r"\|", -1), lambda x: F.get(runs(x), 0))
+    return F.when(~odd & F.forall(longest, lambda x: x.isNotNull()), longest)
+
+
+def _grams(text: Column, sizes: tuple[int, ...]) -> Column:
+    """Distinct stretches of so many characters, in linear time."""
+    of = lambda c, n: F.transform(F.filter(c, lambda x, i: i <= F.size(c) - n), lambda x, i: F.concat(x, *[F.get(c, i + j) for j in range(1, n)]))
+    return let(F.filter(F.split(text, ""), lambda x: x != ""), lambda c: F.array_distinct(F.concat(*[of(c, n) for n in sizes])))
+
+
+def pattern_hits(tokens: DataFrame, c: str, patterns: DataFrame) -> DataFrame:
+    """(token, pattern): what of distinct tokens is found by which of patterns(pattern), Java regexes that ignore case.
+
+    A pattern is tried on the tokens only that have, of a literal of one of its alternatives, the three
+    characters (or as many as there are) that the fewest tokens have. Patterns without a literal are tried on
+    every token, which their few rows are joined with as they are. Null tokens and patterns find nothing.
+    """
+    given = patterns.select("pattern").where("pattern is not null").distinct().withColumn("_runs", required_literals(F.col("pattern")))
+    parts = given.where("_runs is not null").select("pattern", F.posexplode("_runs").alias("_i", "_run"))
+    size = F.length("_run")
+    cut = F.when(size >= 3, _grams(F.col("_run"), (3,))).when(size == 2, _grams(F.col("_run"), (2,))).otherwise(_grams(F.col("_run"), (1,)))
+    parts = parts.select("pattern", "_i", F.explode(cut).alias("_gram"))
+    held = tokens.select(c, F.explode(_grams(F.lower(F.col(c)), (1, 2, 3))).alias("_gram")).join(parts.select("_gram").distinct(), "_gram", "left_semi")
+    counts = held.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = parts.join(counts, "_gram", "left").groupBy("pattern", "_i").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_g"))
+    tried = held.join(rarest.select("pattern", F.col("_g._gram").alias("_gram")).distinct(), "_gram").select(c, "pattern").distinct()
+    found = F.expr(f"`{c}` rlike concat('(?i)', pattern)")
+    return tried.where(found).unionByName(tokens.select(c).join(given.where("_runs is null").select("pattern"), found))
+
+
 def pattern_purge(rows: DataFrame, c: str, patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that match none, findings(reason, action, token, n)) of patterns(pattern, reason), a small table."""
-    tokens = rows.groupBy(c).agg(F.count("*").alias("n"))  # each different token is tried once
-    small = patterns.count() <= 10_000
-    hits = tokens.join(F.broadcast(patterns) if small else patterns, F.expr(f"`{c}` rlike concat('(?i)', pattern)"))
-    bad = hits.groupBy(c, "n").agg(F.min("reason").alias("reason"))
+    """(rows that match none, findings(reason, action, token, n)) of patterns(pattern, reason); each different token is tried once."""
+    tokens = rows.groupBy(c).agg(F.count("*").alias("n"))
+    hits = pattern_hits(tokens, c, patterns).join(patterns.distinct(), "pattern")
+    bad = hits.groupBy(c).agg(F.min("reason").alias("reason")).join(tokens, c)
     findings = bad.select("reason", F.lit("delete").alias("action"), F.col(c).alias("token"), "n")
     return rows.join(bad.select(c), c, "left_anti"), findings
 

@@ -1,11 +1,11 @@
-"""Best matches by index against plain versions over all pairs: bags, typed queries."""
+"""Best matches by index against plain versions over all pairs: bags, typed queries, patterns, batches."""
 
 import random
 from collections import Counter
 
 import pytest
 
-from sparkurate.operators import formulas, matching
+from sparkurate.operators import formulas, lists, matching
 
 
 def nearest(left, right, least, others):
@@ -76,4 +76,30 @@ def test_rank_matches_against_all_names(spark):
     for q in set(queries):
         scored = [(-round(s, 9), n, i) for i, n in names.items() if (s := plain_score(q.strip(), n)) is not None and n != "!?"]
         want |= {(q, k): (i, -s) for k, (s, _, i) in enumerate(sorted(scored)[:5], 1)}
-    assert got == want
\ No newline at end of file
+    assert got == want
+
+PATTERNS = ["utm_|ref=", "a{2,}b+c", "x?yz", "^$", "[0-9]{3}", "(foo|bar)baz", "foo(?=bar)", "f\\.o|o\\+", "(?i)ABC", "qu+?x*z", "a.c$", "\\bcab\\b", "\\p{L}9", "\\x41b", "(a)\\1c", "caf\u00e9s", "[\\]a]bc", "((a(b))c)d", "\\Qa.b\\E", "B|", "[a-c&&[^b]]z", "a*+b", "z\\?y"]
+
+
+def test_patterns_by_literals_against_every_token(spark):
+    r = random.Random(6)
+    tokens = ["", "utm_x", "REF=1", "aabbc", "abc", "yz", "123", "a12", "barBAZ", "foobar", "f.o", "o+", "quuxxz", "a-c", "cab", "x cab y", "\u00e99", "Ab", "aac", "CAF\u00c9S", "caf\u00e9s", "abcd", "a.b", "cz", "]bc", "a" * 20_000 + "ab", "z?y", "\u0130bc\u212a"]
+    tokens += ["".join(r.choice("abcfoxyz 9.") for _ in range(r.randrange(1, 12))) for _ in range(150)]
+    rows = spark.createDataFrame([(t,) for t in [*set(tokens), None]], "token string")
+    patterns = spark.createDataFrame([(p,) for p in [*PATTERNS, None]], "pattern string")
+    literals = {x["pattern"]: x["l"] for x in patterns.where("pattern is not null").select("pattern", lists.required_literals(patterns["pattern"]).alias("l")).collect()}
+    assert literals["utm_|ref="] == ["utm_", "ref="] and literals["x?yz"] == ["yz"] and literals["qu+?x*z"] == ["qu"] and literals["(foo|bar)baz"] == ["baz"]
+    assert all(literals[p] is None for p in ("^$", "[0-9]{3}", "\\x41b", "(a)\\1c", "\\Qa.b\\E", "B|", "[a-c&&[^b]]z"))
+    got = sorted((x["token"], x["pattern"]) for x in lists.pattern_hits(rows, "token", patterns).collect())
+    want = rows.join(patterns, how="cross").where("token rlike concat('(?i)', pattern)")
+    assert got == sorted((x["token"], x["pattern"]) for x in want.collect()) and len(got) > 100
+
+
+def test_pattern_purge_keeps_what_no_pattern_finds(spark):
+    rows = spark.createDataFrame([(1, "call 555"), (2, "aqua"), (3, None), (4, "aqua"), (5, "AQUA call")], "n int, token string")
+    patterns = spark.createDataFrame([("call", "b"), ("call", "a"), ("[0-9]+", "c"), (None, "d")], "pattern string, reason string")
+    left, found = lists.pattern_purge(rows.select("token"), "token", patterns)
+    assert sorted(x["token"] or "" for x in left.collect()) == ["", "aqua", "aqua"]
+    assert sorted(tuple(x) for x in found.collect()) == [("a", "delete", "AQUA call", 1), ("a", "delete", "call 555", 1)]
+    none = spark.createDataFrame([], "pattern string, reason string")
+    assert lists.pattern_purge(rows.select("token"), "token", none)[0].count() == 5
