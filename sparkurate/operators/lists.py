@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import let
 from .matching import first_by
+from .scratch import written
 
 
 def _by(group: str, *order: str | Column) -> Window:
@@ -146,21 +147,50 @@ def priority_candidates(rows: DataFrame, key: str, candidates: list[Column], ind
     return first_by(known, [key], [F.col("priority"), F.col("candidate"), F.col("id")]).select(key, "candidate", "id")
 
 
-def fill_groups(rows: DataFrame, order: list[str], size: str, most_rows: int, most_bytes: int, group: str) -> DataFrame:
-    """rows with `batch`: filled in order per group, each batch up to so many rows and bytes.
+def _numbered(rows: DataFrame, group: str, order: list[str], size: str) -> DataFrame:
+    """rows(group, order, size) with _g (the group as text), _i (place in the group, from 0) and _s (sizes of the rows before); sums of ranges, so that one group may fill many tasks."""
+    by = ["_g", *order, size]
+    rows = rows.select(group, *order, F.col(size).cast("long").alias(size)).withColumn("_g", F.to_json(F.struct(F.col(group).alias("g"))))
+    rows = written(rows.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()))  # written, as ranges are drawn by a sample
+    sums = rows.groupBy("_g", "_range").agg(F.count("*").alias("_rows"), F.coalesce(F.sum(size), F.lit(0)).alias("_bytes"))
+    before = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = sums.select("_g", "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("_rows", "_bytes")])
+    inside = Window.partitionBy("_g", "_range").orderBy(*order, size)
+    place = F.row_number().over(inside) - 1
+    sofar = F.coalesce(F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("_at", place).withColumn("_sofar", sofar).join(starts, ["_g", "_range"])
+    return rows.select(group, *order, size, "_g", (F.col("_at") + F.col("_rows")).alias("_i"), (F.col("_sofar") + F.col("_bytes")).alias("_s"))
 
-    A sequential fold over the sizes of one group, as array of numbers; a row over the limit has a batch of its own.
-    """
-    lists = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(size).cast("long").alias("_n")))).alias("l"))
-    start = F.struct(F.lit(0).alias("b"), F.lit(0).alias("c"), F.lit(0).cast("long").alias("s"), F.array().cast("array<int>").alias("out"))
 
-    def step(acc, x):
-        fits = (acc["c"] < most_rows) & (acc["s"] + x["_n"] <= most_bytes) | (acc["c"] == 0)
-        b = F.when(fits, acc["b"]).otherwise(acc["b"] + 1)
-        return F.struct(b.alias("b"), F.when(fits, acc["c"] + 1).otherwise(1).alias("c"), F.when(fits, acc["s"] + x["_n"]).otherwise(x["_n"]).alias("s"), F.concat(acc["out"], F.array(b)).alias("out"))
+def fill_groups(rows: DataFrame, order: list[str], size: str, most_rows: int, most_bytes: int, group: str) -> DataFrame:
+    """rows(group, order, size) with `batch`: filled in order per group, each batch up to so many rows and bytes.
 
-    filled = lists.select(group, "l", F.aggregate("l", start, step)["out"].alias("b"))
-    return filled.select(group, F.explode(F.arrays_zip("l", "b")).alias("x")).select(group, *[F.col(f"x.l.{o}").alias(o) for o in order], F.col("x.l._n").alias(size), F.col("x.b").alias("batch"))
+    A row over the limit has a batch of its own; equal rows may change places; a null size counts as 0, and sizes
+    are not negative. Each row learns which row would start the next batch if it started one: of the rows within
+    most_rows, in blocks of that many, by sorting the sums. Pointers are doubled from each group's first row on,
+    so a group of n batches takes about log2(n) joins, and no task holds a group.
+    """
+    numbered = written(_numbered(rows, group, order, size))
+    end = F.col("_s") + F.coalesce(F.col(size), F.lit(0))
+    ends = numbered.select("_g", F.floor(F.col("_i") / most_rows).alias("_block"), end.alias("_v"), F.lit(0).alias("_kind"), "_i")
+    asks = numbered.select("_g", F.floor(F.col("_i") / most_rows).alias("_block"), (F.col("_s") + most_bytes).alias("_v"), F.lit(1).alias("_kind"), "_i")
+    asks = asks.unionAll(asks.withColumn("_block", F.col("_block") + 1))
+    sorted_ = Window.partitionBy("_g", "_block").orderBy("_v", "_kind", "_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.max(F.when(F.col("_kind") == 0, F.col("_i"))).over(sorted_)  # the last row that still fits
+    fits = ends.unionAll(asks).withColumn("_last", last).where("_kind = 1").groupBy("_g", "_i").agg(F.max("_last").alias("_last"))
+    follow = written(fits.select("_g", "_i", F.least(F.col("_i") + most_rows, F.greatest(F.col("_i"), F.coalesce("_last", "_i")) + 1).alias("_to")))
+
+    jump, step = follow, 1
+    reached = follow.where("_i = 0").select("_g", "_i", F.lit(0).cast("long").alias("batch"))
+    while True:
+        new = written(reached.join(jump, ["_g", "_i"]).select("_g", F.col("_to").alias("_i"), (F.col("batch") + step).alias("batch")).join(follow.select("_g", "_i"), ["_g", "_i"], "left_semi"))
+        if new.isEmpty():
+            break
+        reached = reached.unionAll(new)
+        jump = written(jump.join(jump.select("_g", F.col("_i").alias("_to"), F.col("_to").alias("_after")), ["_g", "_to"]).select("_g", "_i", F.col("_after").alias("_to")))
+        step *= 2
+    places = reached.join(follow, ["_g", "_i"]).select("_g", F.explode(F.sequence(F.col("_i"), F.col("_to") - 1)).alias("_i"), "batch")
+    return numbered.join(places, ["_g", "_i"]).select(group, *order, size, "batch")
 
 
 def merge_sequences(rows: DataFrame, group: str, value: str, found: DataFrame, position: str = "position") -> DataFrame:

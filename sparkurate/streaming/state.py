@@ -9,8 +9,6 @@ is given again makes the same version again.
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.matching import first_by
+from ..operators.scratch import work_folder
 from .queue import TRANSITIONS, finalize
 
 EVENTS = "id long, seq long, at timestamp, status string, attempt_count int, error string"
@@ -25,16 +24,6 @@ CHANGES = "id long, seq long, kind string, before string, status string, attempt
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def work_folder(spark: SparkSession, label: str) -> str:
-    """A new folder in the one that spark.checkpoint.dir names; a temporary one on a single machine where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.gettempdir()
-    return f"{base.rstrip('/')}/sparkurate/{label}-{uuid.uuid4().hex[:12]}"
-
-
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package when it was found through the driver's sys.path only."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

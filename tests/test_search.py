@@ -103,3 +103,31 @@ def test_pattern_purge_keeps_what_no_pattern_finds(spark):
     assert sorted(tuple(x) for x in found.collect()) == [("a", "delete", "AQUA call", 1), ("a", "delete", "call 555", 1)]
     none = spark.createDataFrame([], "pattern string, reason string")
     assert lists.pattern_purge(rows.select("token"), "token", none)[0].count() == 5
+
+
+def plain_batches(sizes, most_rows, most_bytes):
+    out, count, total = [], 0, 0
+    for n in sizes:
+        n = n or 0
+        if count and (count >= most_rows or total + n > most_bytes):
+            count, total, out = 0, 0, [*out, (out[-1] if out else 0) + 1]
+        else:
+            out.append(out[-1] if out else 0)
+        count, total = count + 1, total + n
+    return out
+
+
+@pytest.mark.parametrize(("most_rows", "most_bytes"), [(1, 5), (3, 10), (7, 40), (50, 1000), (4, 0)])
+def test_batches_by_pointers_against_a_fold(spark, most_rows, most_bytes):
+    r = random.Random(most_rows)
+    groups = {"a": 400, "b": 1, None: 30, "c": most_rows, "zeros": 60}
+    rows = [(g, i // 2, 0 if g == "zeros" else r.choice([0, 1, 2, 3, 5, 9, 30, None])) for g, n in groups.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i int, n long").repartition(5)
+    got = sorted(((x["g"], x["i"], x["n"], x["batch"]) for x in lists.fill_groups(df, ["i"], "n", most_rows, most_bytes, "g").collect()), key=str)
+    want = []
+    for g in groups:
+        own = sorted((i, -1 if n is None else n) for h, i, n in rows if h == g)
+        sizes = [None if n < 0 else n for _, n in own]
+        want += [(g, i, n, b) for (i, _), n, b in zip(own, sizes, plain_batches(sizes, most_rows, most_bytes), strict=True)]
+    assert got == sorted(want, key=str)
+    assert lists.fill_groups(df.where("false"), ["i"], "n", most_rows, most_bytes, "g").count() == 0
