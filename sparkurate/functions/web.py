@@ -39,6 +39,37 @@ def first_link(page: Column | str) -> Column:
     return F.when(link != "", link)
 
 
+def link_to(page: Column | str, folder: str) -> Column:
+    """The first link of a page whose path has that folder, up to its query or fragment; null if there is none."""
+    link = F.regexp_extract(_col(page), f"(?is)<a\\b[^>]*?\\shref\\s*=\\s*[\"']([^\"'#?]*{folder}[^\"'#?]+)", 1)
+    return F.when(link != "", link)
+
+
+_URL = r"(?s)^([A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without the segments . and .., which never lead above its start."""
+
+    def step(kept: Column, x: Column) -> Column:
+        above = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+        return F.when(x == ".", kept).when(x == "..", above).otherwise(F.concat(kept, F.array(x)))
+
+    parts = F.split(path, "/", -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.array_join(F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+
+
+def resolved_link(base: Column | str, link: Column | str) -> Column:
+    """A link as seen from the address of its page; links with a scheme or host of their own stay as they are."""
+    b, r = ([F.regexp_extract(_col(c), _URL, i) for i in range(1, 6)] for c in (base, link))
+    folder = F.when((b[1] != "") & (b[2] == ""), "/").otherwise(F.regexp_replace(b[2], "[^/]*$", ""))
+    path = F.when(F.startswith(r[2], F.lit("/")), _without_dots(r[2])).otherwise(_without_dots(F.concat(folder, r[2])))
+    here = F.concat(b[0], b[1], b[2], F.when(r[3] != "", r[3]).otherwise(b[3]), r[4])
+    there = F.when(r[2] == "", here).otherwise(F.concat(b[0], b[1], path, r[3], r[4]))
+    return F.when(r[0] != "", _col(link)).when(r[1] != "", F.concat(b[0], _col(link))).otherwise(there)
+
+
 def end_of_day(text: Column | str, end: bool = False) -> Column:
     """A date or time in ISO form as UTC; a plain date as an end is the next day's start."""
     c = _col(text)

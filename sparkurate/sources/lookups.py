@@ -11,7 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import inci_normalize, title_case
+from ..functions.text import inci_normalize, normalize_name, slug, title_case
+from ..functions.web import element_text, link_to, resolved_link
 
 # Confidence of a source that finds a name, by how.
 CONFIDENCE = {("taxonomy", "exact"): 0.95, ("taxonomy", "alias"): 0.92, ("compound", "exact"): 0.90, ("compound", "alias"): 0.84, ("sparql", "exact"): 0.82, ("page", "page"): 0.88}
@@ -89,6 +90,31 @@ def registry_evidence(names: DataFrame, registry: DataFrame) -> DataFrame:
     return table_evidence(names, registry.select("term", title_case("canonical").alias("canonical"), F.lit("exact").alias("kind")), "registry", {"exact": CONFIDENCE_V2["registry"]})
 
 
+def page_evidence(names: DataFrame, pages: DataFrame, searches: DataFrame, address: str, search: str, folder: str = "/ingredients/") -> DataFrame:
+    """(name, source, found, lookup_type, canonical, url, confidence) of a site whose pages(url, html) and answers to searches(name, html) are tables.
+
+    names are normalized. A name's own page is at `address` with its slug for {slug}, and counts if its first h1, or
+    else its title, is that name. Otherwise the first link into `folder` of the name's search answer, as seen from
+    the address `search`, leads to its page, whatever that is called. `url` is the last page asked for. A page
+    without h1 and title, or that isn't there, finds nothing; of several pages at one url, and of several answers
+    to one name, the smallest counts. Null names and urls are left out.
+    """
+    first, last = address.split("{slug}")
+    heading = F.coalesce(element_text("html", "h1"), element_text("html", "title"))
+    titled = pages.where("url is not null").groupBy("url").agg(F.min(heading).alias("_canonical"))  # the heading alone is shuffled
+    links = searches.where("name is not null").groupBy("name").agg(F.min(link_to("html", folder)).alias("_link"))
+    own = names.select("name").where("name is not null").distinct().withColumn("url", F.concat(F.lit(first), slug("name"), F.lit(last))).join(titled, "url", "left")
+    own = own.withColumn("_own", F.coalesce(normalize_name("_canonical") == F.col("name"), F.lit(False)))
+    other = own.where(~F.col("_own")).select("name", F.col("url").alias("_first")).join(links, "name", "left").withColumn("url", resolved_link(F.lit(search), F.col("_link")))
+    other = other.join(titled, "url", "left").select("name", F.coalesce("url", "_first").alias("url"), "_canonical")
+    met = own.where("_own").select("name", "url", "_canonical").unionByName(other)
+    found = F.col("_canonical").isNotNull()
+    return met.select(
+        "name", F.lit("page").alias("source"), found.alias("found"), F.when(found, "page").alias("lookup_type"), F.col("_canonical").alias("canonical"), "url",
+        F.when(found, CONFIDENCE_V2["page"]).alias("confidence"),
+    )
+
+
 def all_evidence(*parts: DataFrame) -> DataFrame:
     """Rows of all sources, with `seq` as the source's place."""
     out = parts[0].withColumn("seq", F.lit(0))
