@@ -25,6 +25,8 @@ def query(sql: str | None = None):
     """Register a query under its function's name; sql: None where SQL can't express it."""
 
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are called {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             SQL[f.__name__] = f"{sql}"

@@ -1,11 +1,12 @@
-"""Tokens by a table of regular expressions, and batches by pointers, with their SQL."""
+"""Tokens by a table of regular expressions or by a catalog, and links of pages, with their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import lists
-from .queries import query, read
+from ..functions import web
+from ..operators import formulas, lists
+from .queries import norm, query, read
 
 
 @query(
@@ -25,3 +26,27 @@ def pattern_findings(spark, d):
     )
     patterns = p.groupBy(pattern.alias("pattern")).agg(F.min("p_type").alias("reason"))
     return lists.pattern_purge(p.select(F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("token")), "token", patterns)[1]
+
+
+_ENTRY = "p_name || ' ' || p_brand || ' ' || p_size"
+_ALIAS = "p_brand || '-' || p_name || ' ' || p_type || ' ' || p_size"
+
+
+@query(
+    f"""WITH x AS (SELECT DISTINCT {norm(_ENTRY)} AS term, p_partkey AS id FROM part UNION SELECT {norm(_ALIAS)}, p_partkey FROM part WHERE p_partkey % 2 = 0), one AS (SELECT term, min(id) AS id FROM x GROUP BY 1 HAVING count(*) = 1),
+    t AS (SELECT p_partkey AS input, 1 AS position, upper({_ENTRY}) AS token FROM part UNION ALL SELECT p_partkey, 2, {_ALIAS} FROM part UNION ALL SELECT p_partkey, 3, p_type FROM part UNION ALL SELECT p_partkey, 4, '!?' FROM part), n AS (SELECT input, position, {norm('token')} AS term FROM t)
+    SELECT input, position, id FROM n LEFT JOIN one USING (term) WHERE term <> ''"""
+)
+def tokens_to_entries(spark, d):
+    """Tokens with the only catalog entry of that name or alias; names of two entries resolve to none."""
+    p = read(spark, d, "part")
+    of = lambda position, token: p.select(F.col("p_partkey").alias("input"), F.lit(position).alias("position"), F.expr(token).alias("token"))
+    tokens = of(1, f"upper({_ENTRY})").unionAll(of(2, _ALIAS)).unionAll(of(3, "p_type")).unionAll(of(4, "'!?'"))
+    catalog = p.select(F.expr(_ENTRY).alias("name"), F.col("p_partkey").alias("id"))
+    return formulas.resolve_tokens(tokens, catalog, p.where("p_partkey % 2 = 0").select(F.expr(_ALIAS).alias("alias"), F.col("p_partkey").alias("id")))
+
+
+@query("SELECT page_id, regexp_extract(url, '^https?://[^/]+', 0) || nullif(regexp_extract(html, '(?is)<a\\b[^>]*?href\\s*=\\s*[\"'']([^\"'']+)', 1), '') AS link FROM pages")
+def page_links(spark, d):
+    """The first link of each page as seen from its address; null without one."""
+    return read(spark, d, "pages").select("page_id", web.resolved_link("url", web.first_link("html")).alias("link"))
