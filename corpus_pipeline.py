@@ -35,8 +35,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """_with_rest's columns and a number for each row, written so that it stays: ids may be null or repeated."""
-    return scratch.keep(_with_rest(docs).withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    """_with_rest's columns and a number for each row, written so that it stays: ids may be null or repeated. Texts are written once."""
+    rows = scratch.keep(docs.select(F.struct("*").alias(REST), F.monotonically_increasing_id().alias(ROW)), "numbered")
+    return rows.select(F.col(f"{REST}.doc_id").cast("long").alias("doc_id"), F.col(f"{REST}.text").cast("string").alias("text"), REST, ROW)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

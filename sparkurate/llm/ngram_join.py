@@ -15,11 +15,12 @@ linear in the document's size; how many there are depends on its size class, and
 partners can be in a neighbouring class is indexed under both.
 
 Candidates are not all pairs of a posting list. Each list has two pivots (its smallest document, and
-one at random), and all others are verified against these, which is linear. Lists whose members are
-one component by then are done; in the others each document outside the largest component is
-compared with all of the other components' documents, in blocks, through an upper bound of the
-intersection from small histograms, and what passes is verified. So no link that joins two
-components is lost, and a group of thousands of near copies costs no quadratic work.
+one at random), and all others are verified against these, which is linear. The pivots are done then,
+and so are lists whose other members are one component; of lists with the same other members one is
+gone through. In it each document outside the largest component is compared with all of the other
+components' documents, in blocks, through an upper bound of the intersection from small histograms,
+unless the two met in another list, and what passes is verified. So no link that joins two components
+is lost, and a group of thousands of near copies costs no quadratic work.
 
 Null or blank texts have no tokens and no links. Rows with a null id have a null component. Rows
 that repeat an id count as one document: they link with whatever any of their texts links with.
@@ -46,6 +47,7 @@ from .common import (
     in_bitmap,
     mix,
     only_ids,
+    release_shuffles,
     shingle_set,
     sum_counters,
 )
@@ -53,6 +55,7 @@ from .common import (
 BITS = 20  # of the counters that tokens' frequencies are kept in
 BINS = 256  # of the histogram that bounds an intersection
 FULL = 65_535  # tokens that a bin counts up to
+LOW = 32  # keys that tell where two documents met already
 UNIT = 40  # documents of UNIT * 4**c tokens and more are in size class c
 
 
@@ -192,28 +195,42 @@ def set_sizes_and_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     # First round: everyone against the list's pivots.
     lists = postings.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "n")).alias("p"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("h"), "doc_id", "n")).alias("q")).where("m > 1")
     lists = scratch.keep(lists, "lists")  # written, so that Spark may split a long list when it joins
+    release_shuffles(spark)
     listed = scratch.keep(postings.join(lists.select("key", "m", "p", F.struct("q.doc_id", "q.n").alias("q")), "key"), "listed")
+    release_shuffles(spark)  # here and below: shuffles are several times the tables that are written from them
     pairs = listed.select("doc_id", "n", F.explode(F.array("p", "q")).alias("o"))
     pairs = pairs.where("doc_id <> o.doc_id").where(_sizes_fit("n", "o.n", num, den))
     pairs = pairs.select(F.least("doc_id", "o.doc_id").alias("a"), F.greatest("doc_id", "o.doc_id").alias("b")).distinct()
     tried = scratch.keep(pairs, "tried")
+    release_shuffles(spark)
     links = scratch.keep(_verified(tried, ids, hists, n, num, den, scratch, "left"), "links")
+    release_shuffles(spark)
     nodes = scratch.keep(components(links, scratch), "nodes")
 
-    # Second round: lists that hold several components yet.
+    # Second round: lists that hold several components yet. All members have met the pivots, so these are left
+    # out, and of lists that have the same members then one is enough.
+    rest = listed.where("m > 2 and not (doc_id = p.doc_id and n = p.n) and not (doc_id = q.doc_id and n = q.n)").select("key", "doc_id", "n")
+    # sums as decimals don't overflow; an exclusive or would not see ids that a list holds twice
+    members = [F.sum(F.xxhash64(F.lit(salt), "doc_id", "n").cast("decimal(20,0)")).alias(f"s{salt}") for salt in (1, 2)]
+    once = rest.groupBy("key").agg(F.count("*").alias("m"), *members).where("m > 1").groupBy("m", "s1", "s2").agg(F.min("key").alias("key"))
+    rest = rest.join(scratch.keep(once.select("key"), "once"), "key", "left_semi")
     label = nodes.select(F.col("node").alias("doc_id"), "component")
-    open_lists = listed.where("m > 2").select("key", "doc_id", "n").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    open_lists = rest.join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     by_part = open_lists.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = by_part.groupBy("key").agg(F.max(F.struct("c", "component")).alias("x"), F.count("*").alias("parts"), F.sum("c").alias("m")).where("parts > 1")
     largest = scratch.keep(largest, "largest")
     open_lists = open_lists.join(largest.select("key", F.col("x.component").alias("main"), (F.col("m") - F.col("x.c")).alias("others"), "m"), "key")
+    open_lists = scratch.keep(open_lists, "open")
     more = scratch.keep(_across(open_lists, hists, num, den).join(tried, ["a", "b"], "left_anti"), "more")
+    release_shuffles(spark)
     links = links.unionByName(scratch.keep(_verified(more, ids, hists, n, num, den, scratch, "left2"), "links2"))
+    release_shuffles(spark)
     nodes = scratch.keep(components(links, scratch, "cd"), "nodes2")
     sizes = _sizes(signed, classes)
     result = Scratch(spark, "ngram-result")
     sizes, nodes = result.keep(sizes, "sizes"), result.keep(nodes, "nodes")
     scratch.drop("")  # signatures and lists are several times the result
+    release_shuffles(spark)
     return sizes, nodes
 
 
@@ -222,13 +239,15 @@ def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: i
 
     Members outside the largest component (all, where main is null) are dealt out in cells of about
     `side`; all members meet them there, dealt out again by `other` where the list is long. A task
-    streams through its cells.
+    streams through its cells. Each member knows the least keys of its lists: two members that share a
+    lesser key than their list's met there. Of what they share the least is always gone through.
     """
-    rows = open_lists.join(hists.select("doc_id", "hist"), "doc_id")
+    low = open_lists.groupBy("doc_id", "n").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LOW).alias("low"))
+    rows = open_lists.join(low, ["doc_id", "n"]).join(hists.select("doc_id", "hist"), "doc_id")
     cells, splits = F.ceil(F.col("others") / side).cast("int"), F.ceil(F.col("m") / other).cast("int")
     h = F.xxhash64("doc_id")
-    asks = rows.where("not component <=> main").select(F.col("key"), F.pmod(h, cells).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), splits - 1)).alias("j"), F.lit(0).alias("role"), "doc_id", "n", "component", "hist")
-    all_ = rows.select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("i"), F.pmod(F.xxhash64(h), splits).cast("int").alias("j"), F.lit(1).alias("role"), "doc_id", "n", "component", "hist")
+    asks = rows.where("not component <=> main").select(F.col("key"), F.pmod(h, cells).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), splits - 1)).alias("j"), F.lit(0).alias("role"), "doc_id", "n", "component", "hist", "low")
+    all_ = rows.select("key", F.explode(F.sequence(F.lit(0), cells - 1)).alias("i"), F.pmod(F.xxhash64(h), splits).cast("int").alias("j"), F.lit(1).alias("role"), "doc_id", "n", "component", "hist", "low")
     dealt = asks.unionByName(all_).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "role")
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -238,12 +257,15 @@ def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: i
             k = np.stack([b.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in range(4)], 1)
             ids, n, comp = (b.column(x).to_numpy(zero_copy_only=False) for x in (4, 5, 6))
             hist = np.frombuffer(b"".join(b.column(7).to_pylist()), "<u2").reshape(-1, BINS)
+            low = np.full((len(k), LOW), np.iinfo(np.int64).max)
+            for r, x in enumerate(b.column(8).to_pylist()):
+                low[r, : len(x)] = x
             cuts = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(1)])
             found_a, found_b = [], []
             for s, e in zip(cuts, np.r_[cuts[1:], len(k)], strict=True):
                 here = tuple(k[s, :3])
                 if k[s, 3] == 0:
-                    part = (ids[s:e], n[s:e], comp[s:e], hist[s:e])
+                    part = (ids[s:e], n[s:e], comp[s:e], hist[s:e], low[s:e])
                     held = tuple(np.concatenate(x) for x in zip(held, part, strict=True)) if cell == here else part
                     cell = here
                     continue
@@ -254,6 +276,7 @@ def _across(open_lists: DataFrame, hists: DataFrame, num: int, den: int, side: i
                     w = np.flatnonzero(ok)
                     if len(w):
                         w = w[_linked(most_common(held[3][w], hist[r]), held[1][w], n[r], num, den)]
+                        w = w[~np.isin(held[4][w], low[r][low[r] < here[0]]).any(1)]
                         found_a.append(np.minimum(held[0][w], ids[r]))
                         found_b.append(np.maximum(held[0][w], ids[r]))
             if found_a:
@@ -275,6 +298,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, hists: DataFrame, n: int, num:
                 yield batch(out, [b.column(c).filter(pa.array(ok)) for c in ("a", "b")])
 
     left = scratch.keep(pairs.join(one, "a").join(two, "b").transform(arrow_map, bound, "a long, b long").distinct(), name)
+    release_shuffles(pairs.sparkSession)
     bitmap = id_bitmap(left.select("a").union(left.select("b")))
     texts = only_ids(docs, bitmap)
 
@@ -315,6 +339,7 @@ def ngram_jaccard_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 1
     ids, signed, classes, hists, postings = _indexed(docs, n, num, den, id_col, text_col, scratch)
     lists = scratch.keep(postings.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "lists")
     open_lists = postings.join(lists, "key").select("key", "doc_id", "n", F.col("doc_id").alias("component"), F.lit(None).cast("long").alias("main"), F.col("m").alias("others"), "m")
+    open_lists = scratch.keep(open_lists, "open")
     pairs = scratch.keep(_across(open_lists, hists, num, den), "pairs")
     links = _verified(pairs, ids, hists, n, num, den, scratch, "left")
     result = Scratch(spark, "ngram-links-result")

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, batch, binary_rows, claim, prepare
+from .common import arrow_map, batch, binary_rows, claim, give_back, prepare
 
 WORD_BITS, SHAPE_BITS, DENSE = 18, 12, 4
 SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS) + DENSE
@@ -143,7 +143,10 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: i
     slots = [np.frombuffer(s, "<i4") for s in rows.column("slots").to_pylist()]
     values = np.concatenate([np.frombuffer(v, "<f4") for v in rows.column("values").to_pylist()]).astype(np.float64)
     grades = np.array(rows.column("grade").to_pylist())
-    return fit(np.concatenate(slots), values, np.repeat(np.arange(len(slots)), [len(s) for s in slots]), grades, n_grades)
+    model = fit(np.concatenate(slots), values, np.repeat(np.arange(len(slots)), [len(s) for s in slots]), grades, n_grades)
+    del rows, slots, values
+    give_back()  # the driver lives on
+    return model
 
 
 def graded(docs: DataFrame, model: OrdinalModel | None, wanted: int, at_least: float = 0.5, text_col: str = "text") -> DataFrame:

@@ -99,6 +99,48 @@ def test_ngram_join_chains_and_frequent_tokens(spark):
     assert len(want) > 150
 
 
+def test_ngram_join_compares_a_pair_in_one_list(spark, monkeypatch):
+    """Near copies share dozens of lists; the pairs that are handed on don't grow with these."""
+    import random
+
+    base, r = prose(12, 150).split(), random.Random(6)
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for at in r.sample(range(len(w)), r.randrange(1, 9)):
+            w[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made, plain = spark.sparkContext.accumulator(0), ngram_join.arrow_map
+
+    def counting(df, f, schema):
+        def counted(batches):
+            for b in f(batches):
+                made.add(b.num_rows)
+                yield b
+
+        return plain(df, counted if f.__name__ == "compare" else f, schema)
+
+    monkeypatch.setattr(ngram_join, "arrow_map", counting)
+    _, links = ngram_join.ngram_jaccard_links(docs, 4, 80, 100)
+    _, want = all_links(rows, 4, 80, 100)
+    assert sorted((x.a, x.b) for x in links.collect()) == sorted(want)
+    assert len(want) > 100
+    assert made.value <= 60 * 59 // 2 * 1.2
+    made.value = 0
+    got = ngram_join.ngram_jaccard_components(docs, 4, 80, 100).collect()
+    assert {x.doc_id: x.component_id for x in got} == groups(rows, 4, 80, 100)
+    assert made.value <= 60 * 59 // 2 * 1.2
+
+
+def test_pipeline_writes_a_text_once(spark, odd):
+    import corpus_pipeline
+
+    rows = corpus_pipeline._numbered(odd, Scratch(spark, "once"))
+    assert spark.read.parquet(*rows.inputFiles()).columns == [corpus_pipeline.REST, corpus_pipeline.ROW]
+    assert Counter((x.doc_id, x.text) for x in rows.collect()) == Counter(r[:2] for r in odd_rows())
+
+
 def test_signatures_meet():
     """Linked sets share a signature, whatever is frequent."""
     r = np.random.default_rng(1)
