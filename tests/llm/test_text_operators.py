@@ -245,6 +245,21 @@ def test_substring_dedup_words_of_one_window(spark):
     assert {r.doc_id: r.kept for r in substring_dedup.removed_spans(spark.createDataFrame(once, "doc_id long, text string"), 50, "words", keep_text=True).collect()} == dict(once)
 
 
+def test_substring_dedup_query_counts_bytes_not_words(spark, tmp_path):
+    """Of passages of 57 words the query leaves one of 399 bytes and removes one of 400; the operator on 50 words removes both."""
+    short, long = (" ".join(f"{k}{i:05d}" for i in range(57)) + "x" * (n - 398) for k, n in (("p", 399), ("q", 400)))
+    parts = [(prose(90 + i, 40) + "([<{"[i], passage, ")]>}"[i] + prose(190 + i, 40)) for i, passage in enumerate([short, short, long, long])]
+    texts = ["".join(x) for x in parts] + [prose(290, 150), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = texts[:2] + [a + b for a, _, b in parts[2:]] + [texts[4], ""]
+    got = queries.op2_suffix_array_dedup(spark, str(tmp_path)).orderBy("doc_id").collect()
+    sizes = [len((t or "").encode()) for t in texts]
+    assert [tuple(r) for r in got] == [(i, n, 400 * (i in (2, 3)), int(i in (2, 3)), hashlib.sha256(t.encode()).hexdigest(), len(t), t) for i, (n, t) in enumerate(zip(sizes, want, strict=True))]
+    by_words = {r.doc_id: r.kept for r in substring_dedup.removed_spans(docs, 50, "words", keep_text=True).collect()}
+    assert not any(f"{k}00028" in by_words[i] for k in "pq" for i in range(4)) and by_words[4] == texts[4]
+
+
 def test_quality_keeps_clean_and_drops_toxic(spark):
     rows, labels = [], []
     for i in range(400):
