@@ -79,5 +79,7 @@ def end_of_day(text: Column | str, end: bool = False) -> Column:
 
 def age_bucket(since: Column, now: Column) -> Column:
     """'< 1 hour', '5 hours' or '3 days'."""
-    hours = F.floor((F.unix_timestamp(now) - F.unix_timestamp(since)) / 3600)
-    return F.when(hours < 1, "< 1 hour").when(hours < 48, F.concat(hours.cast("string"), F.lit(" hours"))).otherwise(F.concat(F.floor(hours / 24).cast("string"), F.lit(" days")))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))  # noqa: E731  whole seconds would make an hour of 59:59.6
+    whole = lambda c, n: F.call_function("div", c, F.lit(n))
+    hours = whole(micros(now) - micros(since), 3_600_000_000)
+    return F.when(hours < 1, "< 1 hour").when(hours < 48, F.concat(hours.cast("string"), F.lit(" hours"))).otherwise(F.concat(whole(hours, 24).cast("string"), F.lit(" days")))

@@ -145,3 +145,10 @@ def test_web(one):
     assert (str(a), str(b)) == ("2026-07-01 00:00:00", "2026-06-30 00:00:00")
     now = L("2024-01-10 00:00:00").cast("timestamp")
     assert one(*[web.age_bucket(L(t).cast("timestamp"), now) for t in ("2024-01-09 23:30:00", "2024-01-09 19:00:00", "2024-01-06 00:00:00")]) == ("< 1 hour", "5 hours", "4 days")
+
+
+def test_ages_count_whole_hours(spark):
+    now = L("2024-02-01 00:00:00").cast("timestamp")
+    ages = [web.age_bucket(L(t).cast(kind), now) for kind in ("timestamp", "timestamp_ntz") for t in ("2024-01-31 23:00:00", "2024-01-31 23:00:00.000001", "2024-01-30 03:00:00.4", "2024-01-30 00:00:00.999999", "2024-01-28 00:00:00", "2024-01-28 00:00:00.5")]
+    want = ("1 hours", "< 1 hour", "44 hours", "47 hours", "4 days", "3 days")
+    assert spark.range(1).select(*[a.alias(f"c{i}") for i, a in enumerate(ages)]).first() == want + want
