@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -53,6 +54,29 @@ def test_near_duplicates_of_floats_and_nothing(spark):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def test_near_duplicates_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 40 * 12 * 8)
+    monkeypatch.setattr(embedding_dedup, "PART", 2)
+    test_near_duplicates_against_all_pairs(spark)
+    links = embedding_dedup.TaskLinks(limit=3)
+    for i in (1, 3, 2, 9, 7):
+        links.add(np.array([i, i + 1]), np.array([i, i]), np.array([1, 1]))
+    assert list(zip(*map(list, links.rows()), strict=True)) == [(1, 1, 1), (2, 1, 2), (3, 1, 2), (4, 1, 1), (7, 7, 1), (8, 7, 1), (9, 9, 1), (10, 9, 1)]
+
+
+def test_near_duplicates_copy_no_vectors_for_each_pair_of_blocks(spark):
+    """Bytes shuffled stay in proportion to the vectors."""
+    written = {}
+    shuffled = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    for n in (8_000, 64_000):
+        df = spark.range(n).select(F.col("id").alias("vec_id"), F.array(*[F.randn(i) for i in range(16)]).alias("embedding"))
+        before = shuffled()
+        assert embedding_dedup.near_duplicates(df).count() == n
+        time.sleep(1)  # figures are brought up to date now and then
+        written[n] = shuffled() - before
+    assert 0 < written[64_000] < 1.5 * 8 * written[8_000]
+
+
 PAGES = [(1, "http://a/1", "x" * 2000), (2, "http://a/2\r\nx", "x" * 2000), (3, None, "x" * 2000), (4, "u", "x" * 999), (5, "u", "x" * 999), (6, "u", None), (7, "u", ""), (8, "u", "é" * 50_000), (9, "u", "é" * 50_000), (9, "u", "é" * 50_000), (10, "u", "\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n" * 99), (None, "u", "x" * 2000), (None, "u", "only here" * 200)]
 
 
