@@ -1,5 +1,6 @@
 """Seeding, submissions and runs on small fixtures."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -110,3 +111,30 @@ def test_decisions_in_chains(spark):
     assert rows(out["aliases"]) == sorted(want)
     left = {(r.id, r.status) for r in out["audit"].collect()}
     assert left == {(i, "applied") for i in range(1, n)} | {(i, "pending_human") for i in (1, 20, 21, 22, 30, 31, 40)}
+
+
+def test_entries_meet_a_wanted_name_once(spark):
+    n = 20_000
+    entries = spark.range(n).select("id", F.lit("aqua").alias("normalized_name"))
+    wanted = spark.range(n).select(F.lit("Aqua").alias("name"), F.col("id").cast("int").alias("priority"))
+    made = _rows_of_joins(spark, seed.seed_queue(entries, wanted), lambda out: out.agg(F.count("*"), F.max("priority")).first() == (n, 0))
+    assert made == n
+
+
+def _rows_of_joins(spark, df, holds):
+    """The most rows that a join of df's plan makes as holds(df) runs."""
+    log = spark._jsparkSession.sharedState().statusStore()
+    before = log.executionsCount()
+    assert holds(df)
+    time.sleep(1)  # figures are brought up to date now and then
+    most = 0
+    for k in range(before, log.executionsCount()):
+        run = log.executionsList().apply(k).executionId()
+        figures, nodes = log.executionMetrics(run), log.planGraph(run).allNodes()
+        for i in range(nodes.size()):
+            node = nodes.apply(i)
+            for j in range(node.metrics().size()):
+                m = node.metrics().apply(j)
+                if "Join" in node.name() and m.name() == "number of output rows":
+                    most = max(most, int(figures.get(m.accumulatorId()).get().replace(",", "")))
+    return most
