@@ -45,6 +45,15 @@ def decide(candidates: DataFrame, collisions: DataFrame, aliases: DataFrame, evi
     return rows.select("id", chosen.alias("x")).select("id", "x.*")
 
 
+def alias_targets(candidates: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(id, target_id) for decide(): candidates(id, name) with the targets of their name in aliases(name, target_id), of more than two the least and the greatest.
+
+    These tell one target from several, so candidates don't meet every entry that has the alias.
+    """
+    ends = aliases.where("target_id is not null").groupBy("name").agg(F.array_distinct(F.array(F.min("target_id"), F.max("target_id"))).alias("_ends"))
+    return candidates.join(ends, "name").select("id", F.explode("_ends").alias("target_id"))
+
+
 def review_status(decision: Column, confidence: Column) -> Column:
     return F.when((decision != "needs_human") & (confidence >= AUTO_APPLY), "not_required").otherwise("pending_human")
 

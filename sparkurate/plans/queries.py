@@ -428,7 +428,7 @@ def deterministic_decision(spark, d):
     c = at(cut, 1_000_000).union(at(n, 2_000_000)).union(at(al, 3_000_000))
     collisions = c.join(n.select("name", F.col("id").alias("target_id")), "name").select("id", "target_id", F.col("target_id").alias("created_at"), F.col("name").alias("canonical"))
     evidence = spark.createDataFrame([], "id long, seq int, source string, found boolean, lookup_type string, canonical string, confidence double")
-    out = policy.decide(c, collisions, c.join(al.select("name", F.col("id").alias("target_id")), "name").select("id", "target_id"), evidence, spelling(spark, d))
+    out = policy.decide(c, collisions, policy.alias_targets(c, al.select("name", F.col("id").alias("target_id"))), evidence, spelling(spark, d))
     return out.select("id", "decision", "target_id")
 
 

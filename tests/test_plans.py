@@ -6,8 +6,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sparkurate.operators import tables
-from sparkurate.plans import seed, submissions
+from sparkurate.operators import policy, tables
+from sparkurate.plans import queries, seed, submissions
 from sparkurate.sources.files import read_taxonomy
 
 from .test_operators import TAXONOMY, rows
@@ -138,3 +138,21 @@ def _rows_of_joins(spark, df, holds):
                 if "Join" in node.name() and m.name() == "number of output rows":
                     most = max(most, int(figures.get(m.accumulatorId()).get().replace(",", "")))
     return most
+
+
+def test_candidates_meet_an_alias_of_many_entries_once(spark, tmp_path):
+    n = 3000
+    many = spark.range(n).select(F.col("id").alias("p_partkey"), F.lit("Aqua").alias("p_name"), F.lit("Brand").alias("p_brand"), F.when(F.col("id") > 0, "Big").otherwise("Small").alias("p_type"), F.lit(1).alias("p_size"))
+    many.write.parquet(f"{tmp_path}/part.parquet")
+
+    def right(out):
+        got = {(r.id - 3_000_000, r.decision, r.target_id) for r in out.where("id >= 3000000").collect()}
+        return got == {(0, "alias_to_existing", "0")} | {(i, "needs_human", None) for i in range(1, n)}
+
+    assert _rows_of_joins(spark, queries.QUERIES["deterministic_decision"](spark, str(tmp_path)), right) < 3 * n
+
+
+def test_alias_targets_tell_one_from_several(spark):
+    c = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None), (5, "a")], "id int, name string")
+    a = spark.createDataFrame([("a", 7), ("a", 7), ("b", 9), ("b", 8), ("b", 10), ("b", None), ("c", None), (None, 3)], "name string, target_id int")
+    assert set(rows(policy.alias_targets(c, a))) == {(1, 7), (2, 8), (2, 10), (5, 7)}
