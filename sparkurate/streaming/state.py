@@ -1,6 +1,6 @@
 """The review queue as streams: keyed state with timers, and steps that may be given again.
 
-`QueueState` keeps the last state of each row: an illegal step is told as it arrives, a failure sends a
+`QueueState` keeps the last state of each row, by buckets of ids: an illegal step is told as it arrives, a failure sends a
 row back or, after so many attempts, to the failed ones, and a timer releases a lock that nobody renews.
 `drain` hands micro-batches to a step that makes version n of a table from version n - 1, so a batch that
 is given again makes the same version again.
@@ -34,10 +34,11 @@ def importable(spark: SparkSession) -> None:
 
 
 class QueueState(StatefulProcessor):
-    """Rows of CHANGES for one id: `step` (taken over), `illegal` (told, and remembered as logged), `retried`, `dead`, `released`.
+    """Rows of CHANGES for the ids of a bucket: `step` (taken over), `illegal` (told, and remembered as logged), `retried`, `dead`, `released`.
 
     Steps of a batch are taken in the order of seq; a row that was there before, with a seq that isn't greater than the last one's, changes nothing.
-    A step to `locked` sets a timer; another step takes it away.
+    A step to `locked` sets a timer; another step takes it away. A bucket's states are read and written at once, as each call
+    of the store takes far longer than a step; of its ids' timers only the next one is the store's, its alarm.
     """
 
     def __init__(self, locked: str = "verifying", back_to: str = "received", minutes: int = 30, max_attempts: int = 3, event_time: bool = True):
@@ -45,45 +46,69 @@ class QueueState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("row", "seq long, status string, attempt_count int, timer long")
+        self.state = handle.getValueState("bucket", "id array<long>, seq array<long>, status array<string>, attempt_count array<int>, timer array<long>, alarm long")
 
     def _given_up(self, attempts: int) -> str:
         return "failed" if attempts >= self.max_attempts else self.back_to
 
+    def _read(self) -> tuple[dict, int | None]:
+        """(seq, status, attempt_count, timer) by id, and the alarm."""
+        got = self.state.get()
+        if got is None:
+            return {}, None
+        *columns, alarm = got
+        return {i: x for i, *x in zip(*columns, strict=True)}, alarm
+
+    def _write(self, states: dict, alarm: int | None) -> None:
+        """Write the states with an alarm for the first of their timers; alarm: what is set."""
+        first = min((x[3] for x in states.values() if x[3] is not None), default=None)
+        if first != alarm:
+            if alarm is not None:
+                self.handle.deleteTimer(alarm)
+            if first is not None:
+                self.handle.registerTimer(first)
+        seq, status, attempts, timer = (list(c) for c in zip(*states.values(), strict=True))
+        self.state.update((list(states), seq, status, attempts, timer, first))
+
     def handleInputRows(self, key, rows, timerValues):
-        seq, status, attempts, timer = self.state.get() if self.state.exists() else (None, None, 0, None)
+        states, alarm = self._read()
+        now = None if self.event_time else timerValues.getCurrentProcessingTimeInMs()
         for r in sorted(rows, key=lambda r: r.seq):
+            seq, before, attempts, timer = states.get(r.id, (None, None, 0, None))
             if seq is not None and r.seq <= seq:
                 continue
-            before, seq = status, r.seq
             if r.error is not None:
                 status = self._given_up(attempts)
                 kind = "dead" if status == "failed" else "retried"
             else:
                 kind = "step" if before is None or r.status in TRANSITIONS.get(before, ()) else "illegal"
                 status, attempts = r.status, r.attempt_count
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-                timer = None
-            if status == self.locked and r.error is None:
-                now = r.ms if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-                timer = now + self.ms
-                self.handle.registerTimer(timer)
-            yield Row(id=key[0], seq=seq, kind=kind, before=before, status=status, attempt_count=attempts)
-        if seq is not None:
-            self.state.update((seq, status, attempts, timer))
+            locks = status == self.locked and r.error is None
+            timer = (r.ms if self.event_time else now) + self.ms if locks else None
+            states[r.id] = (r.seq, status, attempts, timer)
+            yield Row(id=r.id, seq=r.seq, kind=kind, before=before, status=status, attempt_count=attempts)
+        self._write(states, alarm)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        seq, before, attempts, timer = self.state.get()
-        if timer == expiredTimerInfo.getExpiryTimeInMs():
-            status = self._given_up(attempts)
-            self.state.update((seq, status, attempts, None))
-            yield Row(id=key[0], seq=seq, kind="released", before=before, status=status, attempt_count=attempts)
+        states, alarm = self._read()
+        if alarm != expiredTimerInfo.getExpiryTimeInMs():
+            return
+        now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        for i, (seq, before, attempts, timer) in states.items():
+            if timer is not None and timer <= max(now, alarm):
+                status = self._given_up(attempts)
+                states[i] = (seq, status, attempts, None)
+                yield Row(id=i, seq=seq, kind="released", before=before, status=status, attempt_count=attempts)
+        self._write(states, None)  # an alarm that went off is gone
 
     def close(self) -> None:
         pass
 
 
+#: Ids are dealt out into so many buckets. A checkpoint goes on only with the number that it began with.
+BUCKETS = 4096
+
+
 def queue_changes(events: DataFrame, event_time: bool = True, delay: str = "0 seconds", **rules) -> DataFrame:
     """A stream of CHANGES from a stream of EVENTS; the session needs the RocksDB state store.
 
@@ -91,9 +116,9 @@ def queue_changes(events: DataFrame, event_time: bool = True, delay: str = "0 se
     wants a trigger by time and doesn't end by itself (run_to_table is for event time).
     """
     importable(events.sparkSession)
-    rows = events.withColumn("at", F.col("at").cast("timestamp")).withColumn("ms", F.unix_millis("at"))
+    rows = events.withColumn("at", F.col("at").cast("timestamp")).withColumns({"ms": F.unix_millis("at"), "bucket": F.pmod(F.xxhash64("id"), F.lit(BUCKETS))})
     rows = rows.withWatermark("at", delay) if event_time else rows
-    return rows.groupBy("id").transformWithState(QueueState(event_time=event_time, **rules), CHANGES, "Append", "EventTime" if event_time else "ProcessingTime")
+    return rows.groupBy("bucket").transformWithState(QueueState(event_time=event_time, **rules), CHANGES, "Append", "EventTime" if event_time else "ProcessingTime")
 
 
 def current_rows(changes: DataFrame) -> DataFrame:

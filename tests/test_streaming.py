@@ -2,6 +2,8 @@
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import Row
+
 from sparkurate.streaming import queue, state
 
 T0 = datetime(2026, 1, 1)
@@ -39,6 +41,55 @@ def test_state_survives_a_restart(spark, tmp_path):
     assert now == {1: "received", 2: "failed", 3: "failed", 4: "submitted", 9: "received", None: "received"}
 
 
+def test_state_of_one_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "BUCKETS", 1)
+    test_state_survives_a_restart(spark, tmp_path)
+
+
+class Store:
+    """A bucket's state and timers, with the number of calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def __getattr__(self, name):
+        def call(x=None):
+            self.calls += 1
+            if name == "update":
+                self.value = x
+            elif name == "registerTimer":
+                self.timers.add(x)
+            elif name == "deleteTimer":
+                self.timers.remove(x)
+            return self.value
+
+        return call
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+    def getExpiryTimeInMs(self):
+        return min(self.timers)
+
+
+def test_calls_of_the_store_are_few_for_many_ids():
+    store, q = Store(), state.QueueState()
+    q.init(store)
+    rows = [Row(id=i, seq=0, ms=1000 * i, status="verifying", attempt_count=i % 5, error=None) for i in range(900)]
+    assert len(list(q.handleInputRows((7,), iter(rows), store))) == 900 and store.timers == {1_800_000} and store.calls <= 4
+    again = [Row(id=0, seq=1, ms=0, status="submitted", attempt_count=0, error=None), Row(id=0, seq=0, ms=0, status="verifying", attempt_count=0, error=None)]
+    assert [(r.kind, r.before, r.status) for r in q.handleInputRows((7,), iter(again), store)] == [("step", "verifying", "submitted")] and store.timers == {1_801_000}
+    store.now, store.calls = 1_802_500, 0
+    gone = list(q.handleExpiredTimer((7,), store, store))
+    store.timers.remove(1_801_000)  # as Spark does when an alarm has gone off
+    assert [(r.id, r.seq, r.kind, r.status) for r in gone] == [(1, 0, "released", "received"), (2, 0, "released", "received")] and store.timers == {1_803_000} and store.calls <= 4
+    store.now = 1_803_000
+    assert [(r.id, r.status) for r in q.handleExpiredTimer((7,), store, store)] == [(3, "failed")] and 1_804_000 in store.timers
+
+
 def test_a_batch_given_again_changes_nothing(spark, tmp_path):
     path = f"file://{tmp_path}/rows"
     first = spark.createDataFrame([(1, "submitted", "b1"), (2, "submitted", "b2"), (3, "applied", "b3"), (None, "submitted", None)], DONE)
