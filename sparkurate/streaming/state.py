@@ -11,7 +11,8 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,6 +34,10 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def _frame(changes: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in zip(("id", "seq", "kind", "before", "status", "attempt_count"), zip(*changes, strict=True), strict=True)})
+
+
 class QueueState(StatefulProcessor):
     """Rows of CHANGES for the ids of a bucket: `step` (taken over), `illegal` (told, and remembered as logged), `retried`, `dead`, `released`.
 
@@ -73,33 +78,41 @@ class QueueState(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         states, alarm = self._read()
         now = None if self.event_time else timerValues.getCurrentProcessingTimeInMs()
-        for r in sorted(rows, key=lambda r: r.seq):
-            seq, before, attempts, timer = states.get(r.id, (None, None, 0, None))
-            if seq is not None and r.seq <= seq:
+        got = pd.concat(list(rows))
+        steps = zip(*[got[c].tolist() for c in ("no_seq", "seq", "no_id", "id", "status", "attempt_count", "failed", "ms")], strict=True)
+        out = []
+        for no_seq, at, no_id, i, to, tries, failed, ms in sorted(steps, key=lambda r: (not r[0], r[1])):
+            i, at = None if no_id else i, None if no_seq else at
+            seq, before, attempts, timer = states.get(i, (None, None, 0, None))
+            if seq is not None and (at is None or at <= seq):
                 continue
-            if r.error is not None:
+            if failed:
                 status = self._given_up(attempts)
                 kind = "dead" if status == "failed" else "retried"
             else:
-                kind = "step" if before is None or r.status in TRANSITIONS.get(before, ()) else "illegal"
-                status, attempts = r.status, r.attempt_count
-            locks = status == self.locked and r.error is None
-            timer = (r.ms if self.event_time else now) + self.ms if locks else None
-            states[r.id] = (r.seq, status, attempts, timer)
-            yield Row(id=r.id, seq=r.seq, kind=kind, before=before, status=status, attempt_count=attempts)
-        self._write(states, alarm)
+                kind = "step" if before is None or to in TRANSITIONS.get(before, ()) else "illegal"
+                status, attempts = to, int(tries) if tries == tries else None  # pandas has NaN for null
+            timer = (int(ms) if self.event_time else now) + self.ms if status == self.locked and not failed else None
+            states[i] = (at, status, attempts, timer)
+            out.append((i, at, kind, before, status, attempts))
+        if out:
+            self._write(states, alarm)
+            yield _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         states, alarm = self._read()
         if alarm != expiredTimerInfo.getExpiryTimeInMs():
             return
         now = timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+        out = []
         for i, (seq, before, attempts, timer) in states.items():
             if timer is not None and timer <= max(now, alarm):
                 status = self._given_up(attempts)
                 states[i] = (seq, status, attempts, None)
-                yield Row(id=i, seq=seq, kind="released", before=before, status=status, attempt_count=attempts)
+                out.append((i, seq, "released", before, status, attempts))
         self._write(states, None)  # an alarm that went off is gone
+        if out:
+            yield _frame(out)
 
     def close(self) -> None:
         pass
@@ -118,7 +131,9 @@ def queue_changes(events: DataFrame, event_time: bool = True, delay: str = "0 se
     importable(events.sparkSession)
     rows = events.withColumn("at", F.col("at").cast("timestamp")).withColumns({"ms": F.unix_millis("at"), "bucket": F.pmod(F.xxhash64("id"), F.lit(BUCKETS))})
     rows = rows.withWatermark("at", delay) if event_time else rows
-    return rows.groupBy("bucket").transformWithState(QueueState(event_time=event_time, **rules), CHANGES, "Append", "EventTime" if event_time else "ProcessingTime")
+    known = [x for c in ("id", "seq") for x in (F.coalesce(c, F.lit(0)).alias(c), F.col(c).isNull().alias(f"no_{c}"))]  # pandas would make doubles of integers beside a null
+    rows = rows.select("bucket", "at", *known, "status", "attempt_count", F.col("error").isNotNull().alias("failed"), "ms")
+    return rows.groupBy("bucket").transformWithStateInPandas(QueueState(event_time=event_time, **rules), CHANGES, "Append", "EventTime" if event_time else "ProcessingTime")
 
 
 def current_rows(changes: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Row
+import pandas as pd
 
 from sparkurate.streaming import queue, state
 
@@ -78,16 +78,18 @@ class Store:
 def test_calls_of_the_store_are_few_for_many_ids():
     store, q = Store(), state.QueueState()
     q.init(store)
-    rows = [Row(id=i, seq=0, ms=1000 * i, status="verifying", attempt_count=i % 5, error=None) for i in range(900)]
-    assert len(list(q.handleInputRows((7,), iter(rows), store))) == 900 and store.timers == {1_800_000} and store.calls <= 4
-    again = [Row(id=0, seq=1, ms=0, status="submitted", attempt_count=0, error=None), Row(id=0, seq=0, ms=0, status="verifying", attempt_count=0, error=None)]
-    assert [(r.kind, r.before, r.status) for r in q.handleInputRows((7,), iter(again), store)] == [("step", "verifying", "submitted")] and store.timers == {1_801_000}
+    steps = lambda *rows: iter([pd.DataFrame(rows, columns="id no_id seq no_seq ms status attempt_count failed".split())])
+    told = lambda frames: list(pd.concat(frames).itertuples())
+    rows = steps(*[(i, False, 0, False, 1000 * i, "verifying", i % 5, False) for i in range(900)])
+    assert len(told(q.handleInputRows((7,), rows, store))) == 900 and store.timers == {1_800_000} and store.calls <= 4
+    again = steps((0, False, 1, False, 0, "submitted", 0, False), (0, False, 0, False, 0, "verifying", 0, False))
+    assert [(r.kind, r.before, r.status) for r in told(q.handleInputRows((7,), again, store))] == [("step", "verifying", "submitted")] and store.timers == {1_801_000}
     store.now, store.calls = 1_802_500, 0
-    gone = list(q.handleExpiredTimer((7,), store, store))
+    gone = told(q.handleExpiredTimer((7,), store, store))
     store.timers.remove(1_801_000)  # as Spark does when an alarm has gone off
     assert [(r.id, r.seq, r.kind, r.status) for r in gone] == [(1, 0, "released", "received"), (2, 0, "released", "received")] and store.timers == {1_803_000} and store.calls <= 4
     store.now = 1_803_000
-    assert [(r.id, r.status) for r in q.handleExpiredTimer((7,), store, store)] == [(3, "failed")] and 1_804_000 in store.timers
+    assert [(r.id, r.status) for r in told(q.handleExpiredTimer((7,), store, store))] == [(3, "failed")] and 1_804_000 in store.timers
 
 
 def test_a_batch_given_again_changes_nothing(spark, tmp_path):
